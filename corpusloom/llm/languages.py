@@ -255,7 +255,7 @@ def language_segments(df: DataFrame, known: Profiles, *, id_col: str, fields: tu
                     yield pa.RecordBatch.from_pydict(
                         {
                             "rec_id": pa.array(ids[at], pa.int64(), from_pandas=True), "field": pa.array([f] * len(doc), pa.string()), "segment": pa.array((np.arange(len(doc)) - start).astype(np.int32)),
-                            "lang": pa.array(names[lang], pa.string()), "words": pa.array(n.astype(np.int32)), "confidence": pa.array(conf), "label": pa.array(labels[at], pa.string()),
+                            "lang": pa.array(names[lang], pa.string()), "words": pa.array(n.astype(np.int32)), "confidence": pa.array(conf.astype(np.float64)), "label": pa.array(labels[at], pa.string()),
                         }
                     )
 
