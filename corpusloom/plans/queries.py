@@ -1,0 +1,9 @@
+"""Queries of the operators, and their SQL."""
+
+
+def queries():
+    return {}
+
+
+def oracle_sql():
+    return {}
