@@ -67,8 +67,6 @@ def is_empty(t: str | None) -> bool:
     """Null, or nothing but blanks, punctuation, markup or a placeholder."""
     if t is None:
         return True
-    if len(t) > 400:
-        t = t[:1] + TAGS.sub(" ", t)[1:] if t[:1] == "<" else t
     s = TAGS.sub(" ", t).strip()
     s = LABELS.sub(" ", re.sub(r"^[*_#>`\s]+", "", s))
     core = " ".join("".join(c if c.isalnum() else " " for c in s).split()).lower()
@@ -209,7 +207,8 @@ def find(x: Profiles, sym: np.ndarray, likely: np.ndarray, instruction: list[str
         if not ASKS_COPY.search(inst[long[k]]):
             out[long[k]] = "copy"
     # Languages of both.
-    long = [i for k, i in enumerate(long) if out[i] is None and a.n and (a.counts()[k] >= 4)]
+    said_words = a.counts()
+    long = [i for k, i in enumerate(long) if out[i] is None and said_words[k] >= 4]
     spoken = []
     for texts, least in (([response[i] for i in long], 4), ([inst[i] for i in long], 6)):
         doc, lang, m, conf = segments(x, sym, texts)
