@@ -13,7 +13,7 @@ COUNTS = ("rows", "toks", "inst_toks", "resp_toks", "cov_rows", "cov_toks", "cov
 def coverage_report(covered: DataFrame) -> DataFrame:
     """level (task, category, global), name, the ten counts, and their percentage of all (``pct_``; of at least one).
 
-    ``covered``: as from sampling.coverage. One pass with grouping sets; the overall row is there also for no rows.
+    ``covered``: as from sampling.coverage. One pass with grouping sets. No rows give an empty report.
     """
     t = covered.select("task", X.category(F.col("task")).alias("category"), F.col("inst_len").cast("bigint").alias("i"), F.col("resp_len").cast("bigint").alias("r"), "cov")
     seen = F.col("cov") > 0
@@ -29,6 +29,8 @@ def render(report: DataFrame) -> str:
     rows = {k: [] for k in ("category", "task", "global")}
     for r in report.orderBy("name").toLocalIterator():
         rows[r.level].append(r)
+    if not rows["global"]:
+        return "\nNothing to report."
     whole = rows["global"][0]
     shown = ("rows", "toks", "cov_rows", "cov_toks", "cov_inst", "cov_resp")
     out = []

@@ -33,7 +33,7 @@ def tag_ids(condition: Column, tags: dict[str, int]) -> Column:
     return F.transform(F.split(condition, ","), lambda t: F.coalesce(ids[t], F.raise_error(F.concat(F.lit("unknown tag: "), t)).cast("int")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     """Composed form; null for null."""
     return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFC", x), na_action="ignore")

@@ -67,7 +67,7 @@ def odd_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path).select(F.col("value"), F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_name").alias("file"))
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True).select(F.col("value"), F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_name").alias("file"))
     body = F.regexp_replace(F.regexp_replace("value", "\r\n?", "\n"), r"\n\z", "")
     t = raw.select(F.element_at(F.split("p", "/"), -2).alias("subset"), "file", F.when(F.col("value") == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n")).alias("lines"))
     return t.withColumn("n", F.size("lines")).where("n > 0")

@@ -1,0 +1,50 @@
+import glob
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from corpusloom.plans import queries as core
+
+DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def db():
+    con = duckdb.connect()
+    for f in glob.glob(f"{DIR}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f}'")
+    return con
+
+
+def plain(v):
+    if isinstance(v, float):
+        return "NULL" if math.isnan(v) else repr(round(v, 9))
+    return "NULL" if v is None else str(v)
+
+
+@pytest.mark.parametrize("name", list(core.queries()))
+def test_like_sql(spark, db, name):
+    df = entry.queries()[name](spark, DIR)
+    names = sorted(df.columns)
+    got = sorted(tuple(plain(r[c]) for c in names) for r in df.collect())
+    if name not in core.oracle_sql():
+        assert got
+        return
+    rel = db.sql(core.oracle_sql()[name])
+    assert sorted(rel.columns) == names
+    at = [rel.columns.index(c) for c in names]
+    assert got == sorted(tuple(plain(r[i]) for i in at) for r in rel.fetchall())
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert df.count() > 0 and df.columns == ["task", "row_id", "draw", "epoch", "inst_len", "resp_len"]
+
+
+def test_filters_reach_the_scan(spark):
+    plan = entry.queries()["recipe_SYNTH"](spark, DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "EqualTo(lang,en)" in plan and "ReadSchema: struct<text:string,lang:string,source:string,condition:string>" in plan
