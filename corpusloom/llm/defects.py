@@ -233,7 +233,7 @@ def defects(df: DataFrame, known: Profiles, *, id_col: str, instruction: str, re
     """rec_id, defect: empty, refusal, copy, other_language or truncated; only defective pairs. ``known``: from fit_bayes."""
     src = df.select(F.col(id_col).cast("long").alias("rec_id"), F.col(instruction).cast("string").alias("i"), F.col(response).cast("string").alias("r"))
     sc = df.sparkSession.sparkContext
-    likely = sc.broadcast(np.minimum(end_counts(src, ("i", "r")), 2**31 - 1).astype(np.int32))  # 4 * ENDS numbers
+    likely = sc.broadcast(end_counts(src, ("i", "r")))  # 4 * ENDS numbers
     sent = sc.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.words import column, groups, tables
 
-ALPHABET, DIM, PIECE = 64, 4096, 1024
+ALPHABET, DIM, PIECE = 64, 2048, 1024
 #: Cost of a change of language within and at the end of a sentence; a word counts for at most CLIP either way.
 SWITCH, SENTENCE, CLIP = 5.0, 2.5, 2.0
 #: Rows of the labelled samples that are used at most, by language; the only bound on what is fitted.
