@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -27,6 +28,19 @@ class Spec:
     tags: dict[str, int] = field(default_factory=dict)
 
 
+@lru_cache(2)
+def _tokenizer(body: str):
+    """One for each worker process."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_str(body)
+    t.encode_special_tokens = True
+    return t
+
+
 def tag_ids(condition: Column, tags: dict[str, int]) -> Column:
     """Ids of the tags, in order; an unknown tag (and an empty condition) stops the query."""
     ids = F.create_map(*[F.lit(x) for kv in tags.items() for x in kv])
@@ -60,13 +74,7 @@ def tokenized(records: DataFrame, spec: Spec) -> DataFrame:
     schema = src.drop("instruction", "response").schema.add("_i", T.ArrayType(T.IntegerType())).add("_r", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        t = Tokenizer.from_str(body.value)
-        t.encode_special_tokens = True
+        t = _tokenizer(body.value)
         kind = pa.list_(pa.int32())
         for b in batches:
             cols = [b.column(i) for i in range(len(extra))]
