@@ -32,11 +32,12 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64 bits (public splitmix64 finaliser)."""
-    x = x ^ (x >> U(30))
+    t = x >> U(30)
+    x = x ^ t
     x *= U(0xBF58476D1CE4E5B9)
-    x ^= x >> U(27)
+    x ^= np.right_shift(x, U(27), out=t)
     x *= U(0x94D049BB133111EB)
-    x ^= x >> U(31)
+    x ^= np.right_shift(x, U(31), out=t)
     return x
 
 
