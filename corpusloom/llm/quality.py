@@ -42,6 +42,8 @@ BOX = re.compile(r"^\s*[-+*•]?\s*\[[ xX]?\]\s", re.M)
 STOPS = np.array([ord(x) for x in ".!?…。！？\"”’'»:"], np.uint32)
 CLOSE = np.array([ord(x) for x in ")]}*_`"], np.uint32)
 ENTRY_WORDS, LEAST_LINES, PROSE, READABLE = 5, 3, 0.5, 0.03
+#: A list or table below a long sentence: so many entries or rows, of the lines, and of the characters.
+MANY, MOST, NEARLY = 6, 0.75, 0.35
 SCHEMA = "doc_id long, words int, mean_word_length double, symbol_ratio double, punctuated_lines double, bullet_lines double, common_words double, kind string, reasons array<string>"
 
 
@@ -110,8 +112,12 @@ def measure(texts: list[str | None], common: np.ndarray, furniture: np.ndarray)
     bad = full & ~row & ((letters == 0) & (digits == 0) | (digits + symbols > letters) & (real_n <= 4) & (digits > 4) & (symbols > 4) | (longest > 45) & ((real_n < 6) | (share < 0.05)) | (all_n > 0) & (fit_n == all_n) & (fit_n > 0) & (np.bincount(wl, fittings, k) > 0) | broken | (damaged > 0.03 * np.maximum(letters, 1)) & (damaged >= 4))
     entry = full & ~row & ~bad & (real_n <= ENTRY_WORDS)
     sentence = full & ~row & ~bad & ~entry
+    # The last line of a wrapped sentence may be short.
+    goes_on = np.zeros(k, bool)
+    goes_on[1:] = entry[1:] & ~bullet[1:] & sentence[:-1] & ~ends[:-1] & (doc_of[1:] == doc_of[:-1])
+    entry, sentence = entry & ~goes_on, sentence | goes_on
     # One overlong word counts like a short one.
-    weight = np.where((longest > 45) & sentence, solid - longest, solid)
+    weight = np.where(longest > 45, np.maximum(solid - longest, 10), solid)
     weigh = lambda m: np.bincount(doc_of, weight * m, n)
     count = lambda m: np.bincount(doc_of, m, n)
     total, S, E, T, J = (weigh(m) for m in (full, sentence, entry, row, bad))
@@ -148,12 +154,13 @@ def measure(texts: list[str | None], common: np.ndarray, furniture: np.ndarray)
             j, s = j + s, 0.0
         if rows[i] < LEAST_LINES and r:
             j, r = j + r, 0.0
+        many = next((k for k, m, x in (("list", entries[i], e), ("table", rows[i], r)) if m >= MANY and m >= MOST * lines[i] and x >= NEARLY * total[i]), None)
         if repeated:
             kind = "junk"
-        elif s >= PROSE * max(total[i], 1e-9):
+        elif s >= PROSE * max(total[i], 1e-9) and not many:
             kind = "prose"
         else:
-            kind = max((("list", e if entries[i] >= LEAST_LINES else 0.0), ("table", r), ("junk", j), ("prose", s)), key=lambda x: x[1])[0]
+            kind = many or max((("list", e if entries[i] >= LEAST_LINES else 0.0), ("table", r), ("junk", j), ("prose", s)), key=lambda x: x[1])[0]
             if entries[i] < LEAST_LINES and e > max(s, r, j):
                 kind = "prose"
         out.append([i, int(words_n[i]), float(mean_len[i]), float(sym[i] / nw), 0.0, 0.0, float(com), kind, reasons])
