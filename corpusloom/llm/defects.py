@@ -26,8 +26,9 @@ from corpusloom.llm.bounded import gather
 from corpusloom.llm.languages import FORMULA, Profiles, segments, symbols
 from corpusloom.llm.words import GROUP_CHARS, U, chains, column, groups, mix, words
 
-#: Hash buckets; lengths of the n-grams before an end; two rows of counts, of which the lower holds, for ends and for all words.
-ENDS, SUFFIXES, ROWS = 1 << 18, (8, 4), (U(0), U(0x2545F4914F6CDD1D))
+#: Hash buckets; the n-grams before an end: 8 characters, and (0) the last word, of which LETTERS count; two rows of
+#: counts, of which the lower holds, for ends and for all words.
+ENDS, SUFFIXES, LETTERS, ROWS = 1 << 18, (8, 0), 12, (U(0), U(0x2545F4914F6CDD1D))
 #: An n-gram counts as known from so many times the mean of a bucket on; likely to end a sentence from these shares on,
 #: where the text's other sentences have no marks, and where they have.
 KNOWN, LIKELY, MARKED = 4, 0.2, 0.95
@@ -117,11 +118,12 @@ def is_cut(t: str, likely: np.ndarray) -> bool:
     # No mark ends it: is what stands before the end what stands before ends elsewhere?
     part = re.split(r"[.!?…:;\n]", bare)[-1]
     n = len(re.findall(r"[^\W\d_]{2,}", part))
-    if n < 3 and not (n and MARK.search(plain) and re.search(r"[^\W\d_]{2,}\Z", part) and plain.rstrip()[-1:] == bare[-1:] and not re.search(r":\s*\w+\Z", plain) and "\n" not in plain[len(plain) - len(part) - 2 :]):
-        return False
     lines = [x for x in plain.split("\n") if x.strip()]
     peers = [x for x in lines[:-1] if ENTRY.match(x)] if ENTRY.match(lines[-1]) else []
-    marked = all(MARK.search(x[-4:]) for x in peers) if peers else len(MARK.findall(plain[: -len(part) or None])) > 0
+    whole = bool(peers) and all(MARK.search(x[-4:]) for x in peers)  # the other entries of its list end with marks
+    if not whole and n < 3 and not (n and MARK.search(plain) and re.search(r"[^\W\d_]{2,}\Z", part) and plain.rstrip()[-1:] == bare[-1:] and not re.search(r":\s*\w+\Z", plain) and "\n" not in plain[len(plain) - len(part) - 2 :]):
+        return False
+    marked = whole if peers else len(MARK.findall(plain[: -len(part) or None])) > 0
     return likelihood(bare, likely) < (MARKED if marked else LIKELY)
 
 
@@ -138,10 +140,11 @@ def likelihood(s: str, likely: np.ndarray) -> float:
     e = ending(s)
     mean = likely[0] / ENDS
     for k in SUFFIXES:
+        part = e[-k:] if k else re.split(r"[ .!?…]", e)[-1][-LETTERS:]
         if k <= len(e):
             h = U(k)
             with np.errstate(over="ignore"):
-                for ch in e[-k:]:
+                for ch in part:
                     h = h * U(0x100000001B3) + U(ord(ch))
             at = [int(mix(np.array([h ^ r], U))[0] & U(ENDS - 1)) + 1 + i * 2 * ENDS for i, r in enumerate(ROWS)]
             every = min(int(likely[i + ENDS]) for i in at)
@@ -169,10 +172,13 @@ def end_counts(df: DataFrame, fields: tuple[str, ...]) -> np.ndarray:
                     word = np.flatnonzero((c[1:] == 32) | stop[1:]) # the last letter of a word
                     word = word[(c[word] != 32) & ~stop[word] & (word >= 16)]
                     yield np.zeros(len(word), np.int64)
+                    gap = np.maximum.accumulate(np.where((c == 32) | stop, np.arange(len(c)), -1))
+                    letters = np.minimum(word - gap[word], LETTERS)
                     for k in SUFFIXES:
                         h = np.full(len(word), k, U)
-                        for i in range(k - 1, -1, -1):
-                            h = h * U(0x100000001B3) + c[word - i]
+                        for i in range((k or LETTERS) - 1, -1, -1):
+                            more = h * U(0x100000001B3) + c[word - i]
+                            h = more if k else np.where(i < letters, more, h)
                         for i, r in enumerate(ROWS):
                             at = (mix(h ^ r) & U(ENDS - 1)).astype(np.int64) + 1 + i * 2 * ENDS
                             yield ENDS + at
