@@ -116,18 +116,19 @@ def is_cut(t: str, likely: np.ndarray) -> bool:
     if bare[-1] in ",;:([{=+-–—\\/&<^„“«":
         return True
     # No mark ends it: is what stands before the end what stands before ends elsewhere?
-    part = re.split(r"[.!?…:;\n]", bare)[-1]
+    part = re.split(r"[.!?…:;](?!\d)|\n", bare)[-1]
     n = len(re.findall(r"[^\W\d_]{2,}", part))
     lines = [x for x in plain.split("\n") if x.strip()]
     peers = [x for x in lines[:-1] if ENTRY.match(x)] if ENTRY.match(lines[-1]) else []
     whole = bool(peers) and all(MARK.search(x[-4:]) for x in peers)  # the other entries of its list end with marks
-    if not whole and n < 3 and not (n and MARK.search(plain) and re.search(r"[^\W\d_]{2,}\Z", part) and plain.rstrip()[-1:] == bare[-1:] and not re.search(r":\s*\w+\Z", plain) and "\n" not in plain[len(plain) - len(part) - 2 :]):
+    begun = n == 2 and MARK.search(bare[: -len(part)].rsplit("\n", 1)[-1])  # after a sentence on its line
+    if not whole and not begun and n < 3 and not (n and MARK.search(plain) and re.search(r"[^\W\d_]{2,}\Z", part) and plain.rstrip()[-1:] == bare[-1:] and not re.search(r":\s*\w+\Z", plain) and "\n" not in plain[len(plain) - len(part) - 2 :]):
         return False
     marked = whole if peers else len(MARK.findall(plain[: -len(part) or None])) > 0
     return likelihood(bare, likely) < (MARKED if marked else LIKELY)
 
 
-MARK = re.compile(r"[.!?…]")
+MARK = re.compile(r"[.!?…](?!\d)")
 ENTRY = re.compile(r"\s*(?:[-+*•]|\(?\w{1,3}[.)])\s")
 
 
