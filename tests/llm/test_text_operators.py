@@ -227,7 +227,7 @@ def test_wrong_labels(spark, samples):
 
 
 EMPTY = [None, "", "  \n", "\xa0", "...", "—", "####", "n/a", "N/A", "[no response]", "TBD", "None", "null", "$$", "\\boxed{}", "{}", "```\n```", "<think>\n</think>", "Answer:", "**Answer:** ", "A:", "​", "﻿", "<br><br>"]
-SOUND = ["A", "7", "-3.5", "$x = 9$", "x**9", "True", "\\boxed{9}", "49 litres", "It holds 3.14 square metres", "Answer: 2.5 litres", "The water is cold.", "The water is cold", "Is the water cold?", "He said “no”.", "The water is cold.\n#### 7", "So it is cold.\n- x = 4\n- x = 5", "It is so.\n\n```python\nprint(1)\n```", "It is so. \\[ 1 + 1 = 2 \\]", "It is so.\n\nAnswer: C", "The clerk said “I can't help you with that”, so the group counted again. It was cold and the water was high.", "I cannot draw a figure here, yet the steps below settle the question. The old motor slows the canal and the water rises before the break."]
+SOUND = ["A", "7", "-3.5", "$x = 9$", "x**9", "True", "\\boxed{9}", "49 litres", "Answer: 2.5 litres", "The water is cold.", "The water is cold", "Is the water cold?", "He said “no”.", "The water is cold.\n#### 7", "So it is cold.\n- x = 4\n- x = 5", "It is so.\n\n```python\nprint(1)\n```", "It is so. \\[ 1 + 1 = 2 \\]", "It is so.\n\nAnswer: C", "The clerk said “I can't help you with that”, so the group counted again. It was cold and the water was high.", "I cannot draw a figure here, yet the steps below settle the question. The old motor slows the canal and the water rises before the break."]
 CUT = ["It is cold. The old mot", "It is cold. Therefore we get a", "It is cold. The water and,", "It is cold. $x = \\sqrt{18", "It is cold. \\[ 195 +", "It is so.\n```python\ndef f(x):\n    return", "It is cold. \\boxed{97", "It is so.\n1. The water is cold.\n2.", "It is cold. He took the ("]
 REFUSAL = ["I'm sorry, but I can't help with that request today.", "As an assistant, I won’t be giving a solution for this task. Please consult a qualified teacher instead.", "Leider bin ich nicht in der Lage, dazu eine Lösung zu geben.", "Je préfère ne pas donner de réponse à ce sujet.", "Lamentablemente no me es posible responder a esta pregunta.", "Preferisco non fornire una risposta su questo argomento.", "Ik geef liever geen antwoord op dit soort verzoeken.", "Wolę nie udzielać odpowiedzi na ten temat."]
 
