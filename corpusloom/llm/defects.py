@@ -38,6 +38,8 @@ COPY_OWN, COPY_WHOLE = 0.9, 0.5
 TAGS = re.compile(r"<[^<>\n]*>|\\boxed\{\s*\}|\\[a-zA-Z]+")
 # Replies that stand for none, after punctuation is taken off.
 PLACEHOLDERS = frozenset(["na", "n a", "none", "null", "nil", "nan", "tbd", "todo", "tba", "no response", "no answer", "not available", "not applicable", "placeholder", "undefined", "empty", "response", "answer", "output", "solution", "insert answer here", "your answer here", "lorem ipsum", "antwort", "réponse", "respuesta", "risposta", "antwoord", "odpowiedź"])
+#: Words in a row that no placeholder has.
+FOUR = re.compile(r"[^\W_]+\s+[^\W_]+\s+[^\W_]+\s+[^\W_]")
 LABELS = re.compile(r"^(?:a|answer|response|solution|output|antwort|réponse|respuesta|risposta|antwoord|odpowiedź)\s*:", re.I)
 
 # Wordings of declining, by language.
@@ -68,6 +70,8 @@ def is_empty(t: str | None) -> bool:
     """Null, or nothing but blanks, punctuation, markup or a placeholder."""
     if t is None:
         return True
+    if not t.startswith("<") and FOUR.search(t):
+        return False
     s = TAGS.sub(" ", t).strip()
     s = LABELS.sub(" ", re.sub(r"^[*_#>`\s]+", "", s))
     core = " ".join("".join(c if c.isalnum() else " " for c in s).split()).lower()
@@ -194,7 +198,7 @@ def find(x: Profiles, sym: np.ndarray, likely: np.ndarray, instruction: list[str
     out: list[str | None] = [None] * n
     inst = [t or "" for t in instruction]
     for i, t in enumerate(response):
-        if (t is None or len(t) < 400 or not any(c.isalnum() for c in t[:200])) and is_empty(t):
+        if is_empty(t):
             out[i] = "empty"
         elif is_refusal(t, inst[i]):
             out[i] = "refusal"
