@@ -110,6 +110,7 @@ def no_robots(df: DataFrame) -> DataFrame:
 def numinamath(df: DataFrame) -> DataFrame:
     """A null flag ``synthetic`` or type passes, as in Python's ``not`` and ``!=``; null solutions and answers don't."""
     problem, solution, answer = X.strip(c("problem")), X.strip(c("solution")), X.strip(c("answer"))
+    # Marks of rows that are left out.
     ok = ~F.coalesce("synthetic", lit(False)) & (c("problem_is_valid") == "Yes") & (c("solution_is_valid") == "Yes") & c("solution").isNotNull() & c("answer").isNotNull()
     ok = ok & ~c("problem").contains("http") & ~c("solution").contains("http") & ~c("solution").contains("Translate the text above into English") & (problem != "") & (solution != "")
     direct = ~c("question_type").eqNullSafe("proof") & ~c("answer").eqNullSafe("proof") & (answer != "")
@@ -145,6 +146,7 @@ def arb(df: DataFrame) -> DataFrame:
 
 @recipe("openbookqa", "question_stem string, choices struct<text:array<string>>, fact1 string, answerKey string", lambda: X.letter_index(c("answerKey")).between(0, F.size("choices.text") - 1))
 def openbookqa(df: DataFrame) -> DataFrame:
+    # The template.
     head = "Based on the given fact, which of the following option is the correct answer to the question?\n\n"
     return project(df, "direct", F.concat(lit(head), "question_stem", lit(" \n"), X.lettered(c("choices.text")), lit("\n\nFact: "), "fact1"), c("answerKey"))
 
@@ -168,6 +170,7 @@ def scienceqa(df: DataFrame) -> DataFrame:
     body = F.concat(q, lit("\nOptions:\n"), X.lettered(c("choices"), clean=X.strip))
     ask = lambda head: F.when(lecture != "", F.concat(lit(head + "\n\n"), body, lit("\n\nLecture: "), lecture)).otherwise(body)
     a = X.letter(c("answer"))
+    # The templates.
     return fan_out(
         df,
         record("cot", ask("Solve the following question using the information provided in the lecture."), F.concat(s, lit("\n\nAnswer: "), a), s != ""),

@@ -1,21 +1,26 @@
 """Stages from the command line: ``python -m corpusloom.pipeline STAGE key=value ...``.
 
 clean recipe=.. source=.. out=.. [format=parquet]     raw rows to records by task, others to quarantine
+tokenize roots=a,b tokenizer=tokenizer.json info=info.json out=..   changed files to token rows by task, with offsets
 sample index=.. policy=.. out=.. [epochs seed context least]   epochs, coverage report, metadata
 Unknown keys are an error.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import os
+import shutil
 import sys
 from dataclasses import dataclass, fields
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators import layout, report, sampling
+from corpusloom.operators import incremental, layout, report, sampling, tokenize
 from corpusloom.operators.recipes import RECIPES
-from corpusloom.schema import quarantine
+from corpusloom.schema import RECORD, quarantine
 from corpusloom.sources import exports, readers
 
 
@@ -27,6 +32,14 @@ class Clean:
     format: str = "parquet"
 
 
+@dataclass(frozen=True)
+class Tokenize:
+    roots: str
+    tokenizer: str
+    info: str
+    out: str
+
+
 @dataclass(frozen=True)
 class Sample:
     index: str
@@ -55,6 +68,54 @@ def clean(spark: SparkSession, o: Clean) -> None:
     exports.parquet(bad, f"{o.out}/quarantine")
 
 
+def tokenized(spark: SparkSession, o: Tokenize) -> dict[str, list[str]]:
+    """Token rows of every file that is new, changed, or was done with another tokenizer; outputs whose source is gone are
+    removed, and only those. A file that can't be read keeps its old output and is tried again next time.
+
+    ``info``: JSON with the ids boq, eoq, eoa and the tags' ids (condition_mapping). Gives tasks done, failed and removed.
+    """
+    info = readers.tokenizer_info(o.info)
+    spec = tokenize.Spec(o.tokenizer, info["boq"], info["eoq"], info["eoa"], info["condition_mapping"])
+    with open(o.tokenizer, "rb") as f:
+        now = readers.listing(spark, *o.roots.split(",")).withColumn("tokenizer_hash", F.lit(hashlib.md5(f.read()).hexdigest()))
+    kept = f"{o.out}/manifest.json"
+    old = json.load(open(kept)) if os.path.exists(kept) else []
+    before = spark.createDataFrame([tuple(x) for x in old], "task string, path string, source_size bigint, source_mtime bigint, tokenizer_hash string, status string")
+    gone = [r.task for r in incremental.orphans(now, before).collect()]
+    for t in gone:
+        shutil.rmtree(f"{o.out}/rows/task={t}", ignore_errors=True)
+    done, failed = [], []
+    for r in incremental.changed(now, before).collect():  # files, not rows; each is its own job, so one that fails harms no other
+        try:
+            exports.clustered(_rows(spark, r.task, r.path, spec), f"{o.out}/rows")
+            done.append(r)
+        except Exception as e:  # noqa: BLE001
+            print(f"{r.task}: {str(e)[:300]}", file=sys.stderr)
+            failed.append(r)
+    again = {r.task for r in done + failed}
+    rest = [x for x in old if x[0] not in again and x[0] not in gone]
+    os.makedirs(o.out, exist_ok=True)
+    with open(kept + ".new", "w") as f:
+        json.dump(rest + [[*r, "ok"] for r in done] + [[*r, "failed"] for r in failed], f)
+    os.replace(kept + ".new", kept)
+    return {"done": sorted(r.task for r in done), "failed": sorted(r.task for r in failed), "removed": sorted(gone)}
+
+
+def _rows(spark: SparkSession, task: str, path: str, spec: tokenize.Spec) -> DataFrame:
+    if path.endswith(".jsonl"):
+        good, bad = readers.json_lines(spark, path)
+        if line := bad.first():
+            raise ValueError(f"{line.reason}: {line.line[:100]}")
+        raw = good.withColumn("_at", F.monotonically_increasing_id())
+    else:
+        raw = spark.read.parquet(path).select(*RECORD.names, F.col("_metadata.row_index").alias("_at"))
+    sound, broken = quarantine(raw, null_as_empty=True)
+    if row := broken.first():
+        raise ValueError(row.violation)
+    rows = readers.with_row_ids(sound.withColumn("task", F.lit(task)), "_at").select("task", "row_id", *RECORD.names)
+    return layout.row_offsets(tokenize.tokenized(rows, spec))
+
+
 def sample(spark: SparkSession, o: Sample) -> str:
     index = sampling.latest(spark.read.parquet(o.index))
     with open(o.policy) as f:
@@ -75,6 +136,9 @@ def main(args: list[str]) -> None:
     stage, rest = args[0], args[1:]
     if stage == "clean":
         clean(spark, options(Clean, rest))
+    elif stage == "tokenize":
+        if (got := tokenized(spark, options(Tokenize, rest)))["failed"]:
+            raise SystemExit(f"failed: {got['failed']}")
     elif stage == "sample":
         print(sample(spark, options(Sample, rest)))
     else:

@@ -156,6 +156,12 @@ def tokenizer_info(path: str) -> dict:
         return json.load(f)
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """Adds what file names like ``12__name.jsonl`` say: rsize (12) and name; null for other names."""
+    at = lambda i: F.nullif(F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)__(.*)$", i), F.lit(""))
+    return df.select("*", at(1).cast("bigint").alias("rsize"), at(2).alias("name"))
+
+
 def npy_column(spark: SparkSession, path: str) -> DataFrame:
     """One-dimensional .npy files as rows: file, place, value (bigint)."""
     import numpy as np

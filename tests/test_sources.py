@@ -139,3 +139,29 @@ def test_sample_stage(spark, tmp_path):
     put(f"{tmp_path}/p.yaml", "- prefix: a__\n  max_per_file: 4\n")
     text = pipeline.sample(spark, pipeline.options(pipeline.Sample, [f"index={tmp_path}/i", f"policy={tmp_path}/p.yaml", f"out={tmp_path}/o", "epochs=2"]))
     assert "8 out of 10" in text and readers.tokenizer_info(f"{tmp_path}/o/metadata.json") == {"max_seq_len": 4097, "total_length": 36}
+
+
+def test_tokenize_stage(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    t = Tokenizer(models.WordLevel({"a": 10, "b": 11, "?": 12}, unk_token="?"))
+    t.pre_tokenizer = pre_tokenizers.Whitespace()
+    t.save(f"{tmp_path}/t.json")
+    exports.sidecar(f"{tmp_path}/info.json", boq=6, eoq=7, eoa=8, condition_mapping={"cot": 1, "direct": 2})
+    line = lambda c, i, r: json.dumps({"condition": c, "instruction": i, "response": r}) + "\n"
+    put(f"{tmp_path}/in/x.jsonl", line("cot", "a b", "b") + line("direct", "a", "a a"))
+    put(f"{tmp_path}/in/sub/y.jsonl", line("cot", "a", "b"))
+    put(f"{tmp_path}/in/bad.jsonl", line("odd", "a", "b"))
+    spark.createDataFrame([("cot", "b", None)], "condition string, instruction string, response string").coalesce(1).write.parquet(f"{tmp_path}/in/p")
+    o = pipeline.options(pipeline.Tokenize, [f"roots={tmp_path}/in", f"tokenizer={tmp_path}/t.json", f"info={tmp_path}/info.json", f"out={tmp_path}/out"])
+    got = pipeline.tokenized(spark, o)
+    assert got["failed"] == ["bad.jsonl"] and got["removed"] == [] and len(got["done"]) == 3 and {"x.jsonl", "sub__y.jsonl"} < set(got["done"])
+    rows = {(r.task, r.row_id): r for r in spark.read.parquet(f"{tmp_path}/out/rows").collect()}
+    x = rows["x.jsonl", 1]
+    assert len(rows) == 4 and x.inst_tokens == [6, 2, 10, 7] and x.resp_tokens == [10, 10, 8] and (x.inst_start, x.resp_start) == (7, 11)
+    os.remove(f"{tmp_path}/in/sub/y.jsonl")
+    put(f"{tmp_path}/in/bad.jsonl", line("cot", "a", "b"))
+    assert pipeline.tokenized(spark, o) == {"done": ["bad.jsonl"], "failed": [], "removed": ["sub__y.jsonl"]}
+    assert {r.task for r in spark.read.parquet(f"{tmp_path}/out/rows").select("task").distinct().collect()} == {"x.jsonl", "bad.jsonl", *(k[0] for k in rows if k[0].startswith("p__"))}
+    put(f"{tmp_path}/s/12__more.jsonl", line("cot", "a", "b"))
+    assert readers.sized(spark.read.json(f"{tmp_path}/s")).select("rsize", "name").first() == (12, "more.jsonl")

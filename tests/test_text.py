@@ -40,26 +40,6 @@ def test_think_names_letters(spark):
     assert column(spark, ["x"], lambda c: X.lettered(F.array(c, F.lit(None).cast("string"), F.lit("z")))) == ["A: x\nB: \nC: z"]
 
 
-def boxed(s):
-    at = s.rfind("\\boxed")
-    if at < 0:
-        at = s.rfind("\\fbox")
-    if at < 0:
-        return None
-    depth, left = 0, None
-    for i in range(at, len(s)):
-        if s[i] == "{":
-            depth += 1
-            left = i if left is None else left
-        elif s[i] == "}":
-            depth -= 1
-            if depth == 0 and left is not None:
-                return s[left + 1 : i].strip()
-            if depth == 0:
-                return None
-    return None
-
-
 def test_last_boxed(spark):
     cases = {r"\boxed{1} then \boxed{\frac{1}{2}}": r"\frac{1}{2}", r"\fbox{7}": "7", r"\fbox{7} and \boxed 5": None, r"\boxed{ }": "", r"\boxed{{a}": None, r"\boxed{a}} tail": "a", r"\boxed } {{x}": "{x", r"\boxed 5 {6}": "6", r"\boxedx{9}": "9", "none": None}
     assert column(spark, list(cases), X.last_boxed) == list(cases.values())
