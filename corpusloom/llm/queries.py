@@ -19,6 +19,10 @@ def p1_found(s: SparkSession, d: str) -> DataFrame:
     return got.select(F.col("id_a").alias("rec_id_a"), F.col("id_b").alias("rec_id_b"))
 
 
+def p1_classes(s: SparkSession, d: str) -> DataFrame:
+    return neardup.near_classes(_read(s, d, "json_rows"), "rec_id", "instruction", least=20, similarity=0.5)
+
+
 def p2_found(s: SparkSession, d: str) -> DataFrame:
     return p2_leaks(s, d).where("exact").select("rec_id", "item_id").distinct()
 
@@ -71,7 +75,7 @@ def p8_statistics(s: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_leaks, p3_found, p3_segments, p4_draws, p4_shares, p5_found, p6_ids, p7_places, p7_fill, p8_found, p8_statistics)}
+    return {f.__name__: f for f in (p1_found, p1_classes, p2_found, p2_leaks, p3_found, p3_segments, p4_draws, p4_shares, p5_found, p6_ids, p7_places, p7_fill, p8_found, p8_statistics)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -117,6 +117,19 @@ def test_hot_copies(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_classes(spark, near_rows):
+    df = spark.createDataFrame(near_rows, "rec_id bigint, instruction string")
+    got = {r.rec_id: (r.class_id, r.links) for r in neardup.near_classes(df, "rec_id", "instruction").collect()}
+    same = {i: tuple(plain_words(t)) for i, t in near_rows if len(plain_words(t)) >= 20}
+    first = {}
+    for i in sorted(same):
+        first.setdefault(same[i], i)
+    assert {i: c for i, (c, _) in got.items()} == {i: first[w] for i, w in same.items()}
+    pairs = brute(near_rows)
+    links = {i: {first[same[b if a == i else a]] for a, b in pairs if i in (a, b)} - {first[same[i]]} for i in same}
+    assert {i: n for i, (_, n) in got.items()} == {i: len(v) for i, v in links.items()}
+
+
 def test_signature_bound():
     r = random.Random(3)
     for n in (40, 95, 96, 150, 400):
