@@ -1,31 +1,24 @@
 """Near-duplicate records: all pairs whose sets of three-word sequences (shingles) are similar.
 
-Method: a size-aware heavy-light join.
-
-* **Small sets** enumerate fixed-size subsets of their shingles and meet in any subset
-  they share. Of all subsets only those of *adjacent* shingles are enumerated (two
-  adjacent shingles are four words in a row), since a text with edits keeps unbroken
-  stretches; and of these the rarest of every ``WINDOW`` neighbours is kept, so that
-  texts agree on the choice wherever they agree on ``WINDOW + 3`` words. A subset that
-  is *heavy*, i.e. held by more than ``heavy`` records, is enlarged to six and then
-  fourteen adjacent shingles (8, 16 words) until it is light.
-* **Large sets** scan inverted lists: single shingles, the rarest first, as many as the
-  prefix bound of the similarity asks for. They do so only against sets of at least half
-  their size, the others can't be similar.
-* The **boundary** between small and large, and the heavy limit, come from a cost
-  estimate made of the counts of all data (a table of fixed size, ``BUCKETS``).
-
-Whoever meets is held against a provable bound first (a parity signature: similar sets
-differ in few elements, hence in few parity bits), and then against the exact similarity.
+Method: a prefix-filter join over inverted lists, with heavy lists in parts.
+
+* Every text's shingles are put into one order of all data, the rarest first (by a count
+  table of fixed size, ``BUCKETS``), and as many go into the lists as the **prefix bound**
+  of the similarity asks for: of n shingles n - ceil(similarity * n) + 1. Two similar sets
+  always have a shingle of both prefixes in common, whatever their edits.
+* Two texts of a list are held against their **sizes and positions**: from the first
+  common shingle on, both must have as many shingles left as the similarity asks for. Then
+  against a parity **signature** (similar sets differ in few elements, hence in few parity
+  bits), and at last against the exact similarity. Each bound is provable.
+* A **heavy** list, of which the count says that it has more than ``part`` texts, is cut
+  into parts by the texts' hashes, and each two parts meet in a task of their own. No list
+  is dropped, however long.
 
 Exact copies count as one text until the end: a text is represented once, whatever the
 number of its copies, and pairs of records are made from pairs of texts.
 
-What is complete: among large sets every similar pair. Among small ones every similar pair
-that has ``WINDOW + 3`` = 9 words in a row in common, of which not all are boilerplate (a
-stretch of 16 words in more than ``heavy`` records, after copies are taken together in
-each task). Edits of single words leave such a stretch unless they come every ten words
-through the whole text; README gives the measured recall.
+What is complete: every similar pair (of texts told apart by hashes of 64 bits). The price
+is that the work on a list grows with the square of its length; README has the figures.
 
 Nulls and texts of fewer than ``least`` words are in no pair. Repeated rows with the same
 id are one record. An empty table gives no pairs. Extra columns are ignored.
@@ -45,23 +38,25 @@ from corpusloom.llm.bounded import gather
 from corpusloom.llm.durable import durable
 from corpusloom.llm.words import LINK, U, Words, chains, column, groups, mix, words
 
-SHINGLE, GRAMS, WINDOW = 3, (4, 8, 16), 6
-BUCKETS, MARKS = 1 << 21, 1 << 22
+SHINGLE = 3
+BUCKETS, MARKS, RECENT = 1 << 21, 1 << 22, 1 << 20
 #: Sets of so many shingles have signatures of 512 bits, smaller ones of 256.
 WIDE = 96
 LARGE = U(0x5BF03635F0935AD1)
 #: Records of one text that a task holds together.
 PART = 4096
-#: Postings that are paired at once.
-TOGETHER = 150_000
+#: Texts of one list in a part of it at most.
+LIST = 1 << 14
+#: Postings that are paired at once, and pairs that are sent on at once.
+TOGETHER, SENT = 150_000, 500_000
 
 
 @dataclass(frozen=True)
 class Cost:
-    """``heavy``: records in a light list at most. ``boundary``: sets of so many shingles are large."""
+    """``part``: texts of a list in one part at most. ``spare``: what a bucket's count holds beside any one list."""
 
-    heavy: int
-    boundary: int
+    part: int
+    spare: int
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -107,37 +102,6 @@ def _signature(d: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
     return both
 
 
-def _ladder(w: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Chains of GRAMS words, each length from two of the one before: hashes, and whether they lie in one text."""
-    h, one = chains(w, GRAMS[0])
-    yield h, one
-    for k, n in zip(GRAMS, GRAMS[1:]):
-        h = mix(h[: max(0, len(h) - k)] * LINK + h[k:])
-        yield h, w.doc[: len(h)] == w.doc[n - 1 : len(h) + n - 1]
-
-
-def _select(g: np.ndarray, one: np.ndarray, doc: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The places of the rarest of every WINDOW adjacent chains within one text (all of them in a shorter text: its rarest)."""
-    if not len(g):
-        return np.zeros(0, np.int64)
-    order = rank.astype(np.float64) + (g >> U(11)).astype(np.float64) / 2**53
-    order[~one] = np.inf
-    pad = np.concatenate([order, np.full(WINDOW - 1, np.inf)])
-    owner = np.concatenate([doc[: len(g)], np.full(WINDOW - 1, -1)])
-    best, at = order.copy(), np.arange(len(g))
-    whole = one.copy()
-    for i in range(1, WINDOW):
-        other = pad[i : i + len(g)]
-        same = owner[i : i + len(g)] == doc[: len(g)]
-        whole &= same & (other < np.inf)
-        lower = same & (other < best)
-        best = np.where(lower, other, best)
-        at = np.where(lower, np.arange(len(g)) + i, at)
-    starts = np.ones(len(g), bool)
-    starts[1:] = doc[1 : len(g)] != doc[: len(g) - 1]
-    return np.unique(at[(whole | starts) & (best < np.inf)])
-
-
 def _fresh(batches: Iterator[pa.RecordBatch], text: str, least: int) -> Iterator[tuple[np.ndarray, Words, np.ndarray, np.ndarray]]:
     """Texts with enough words that didn't come before in this task: their places in the group, words, text hashes."""
     seen: set[int] = set()
@@ -154,104 +118,91 @@ def _fresh(batches: Iterator[pa.RecordBatch], text: str, least: int) -> Iterator
             yield keep, w, h
 
 
-def costs(df: DataFrame, text: str, least: int, similarity: float) -> tuple[np.ndarray, Cost]:
-    """How many records hold each bucket of chains, counted over all data, and the limits that follow."""
-    sizes = 4096
+def costs(df: DataFrame, text: str, least: int) -> tuple[np.ndarray, Cost]:
+    """How often each bucket of shingles occurs, counted over all data, and where lists are cut."""
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for keep, w, _ in _fresh(batches, text, least):
-            yield BUCKETS + np.clip(w.counts()[keep] - SHINGLE + 1, 0, sizes - 1)
             g, one = chains(w, SHINGLE)
-            for g, one in [(mix(g ^ LARGE), one), *_ladder(w)]:
-                yield _bucket(g[one & keep[w.doc[: len(g)]]])
-
-    table = gather(df.select(text), buckets, BUCKETS + sizes)
-    counts, of_size = table[:BUCKETS], table[BUCKETS:]
-    mean = counts.mean()
-    heavy = int(max(256, 4 * mean))
-    # Expected length of a list: of light subsets, and of the rarer half of single shingles (by occurrences).
-    up = np.sort(counts[counts > 0]).astype(np.float64)
-    light = up[up <= heavy]
-    subset_list = (light**2).sum() / max(1.0, light.sum())
-    half = up[np.cumsum(up) <= up.sum() / 2]
-    single_list = (half**2).sum() / max(1.0, half.sum()) + up[-1:].sum() * 0.01
-    n = np.arange(sizes)
-    keys, prefix = n * 2 / (WINDOW + 1), n * (1 - similarity) + 1
-    total = max(1, of_size.sum())
-    best = (np.inf, sizes)
-    for x in [2**i for i in range(6, 12)] + [sizes]:
-        near = of_size * (n >= x * similarity)
-        cost = (of_size * (n < x) * keys).sum() * (1 + subset_list / 64) + (near * prefix).sum() * (1 + single_list / 64 * near.sum() / total)
-        best = min(best, (cost, x))
-    # A saturated signature can't tell sets apart; sets of 1,024 and more always take the exact lists.
-    return counts, Cost(heavy, min(best[1], 1024))
-
-
-def keys(w: Words, keep: np.ndarray, counts: np.ndarray, cost: Cost, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text and key of every meeting point; size and signature by text."""
+            yield _bucket(mix(g ^ LARGE)[one & keep[w.doc[: len(g)]]])
+
+    counts = gather(df.select(text), buckets, BUCKETS)
+    return counts, Cost(LIST, int(counts.mean()))
+
+
+def keys(w: Words, keep: np.ndarray, counts: np.ndarray, cost: Cost, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, key, and shingles from this one on (in the order of all data) of every meeting point; size and signature by text."""
     d, g = _shingles(w, keep)
     size = np.bincount(d, minlength=w.n)
-    docs, out = [], []
-    rungs = list(_ladder(w))
-    c4, one = rungs[0][0], rungs[0][1].copy()
-    small = keep & (size < cost.boundary)
-    one &= small[w.doc[: len(c4)]]
-    at = _select(c4, one, w.doc, counts[_bucket(c4)])
-    for ck, whole in rungs:
-        at = at[at < len(ck)]
-        at = at[whole[at]]
-        h = ck[at]
-        light = counts[_bucket(h)] <= cost.heavy
-        docs.append(w.doc[at[light]])
-        out.append(h[light])
-        at = at[~light]
-    lists = size[d] >= cost.boundary * similarity
-    if lists.any():
-        d2, h = d[lists], mix(g[lists] ^ LARGE)
-        o = np.lexsort((h, counts[_bucket(h)], d2))
-        d2, h = d2[o], h[o]
-        first = np.searchsorted(d2, d2)
-        ok = np.arange(len(d2)) - first < size[d2] - np.ceil(similarity * size[d2]) + 1
-        docs.append(d2[ok])
-        out.append(h[ok])
-    return np.concatenate(docs), np.concatenate(out), size, _signature(d, g, w.n)
+    sign = _signature(d, g, w.n)
+    h = mix(g ^ LARGE)
+    count = counts[_bucket(h)]
+    o = np.lexsort((h, count, d))
+    d, h, count = d[o], h[o], count[o]
+    left = size[d] - (np.arange(len(d)) - np.searchsorted(d, d))
+    ok = left >= np.ceil(similarity * size[d] - 1e-9)
+    d, h, count, left = d[ok], h[ok], count[ok], left[ok]
+    # A heavy list: the text's part of it meets each part, its own too.
+    parts = 1 + np.maximum(0, count.astype(np.int64) - cost.spare) // cost.part
+    heavy = parts > 1
+    if not heavy.any():
+        return d, h, left, size, sign
+    mine = (mix(_texts(w)[d[heavy]] ^ h[heavy]) % parts[heavy].astype(U)).astype(np.int64)
+    times = parts[heavy]
+    other = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    mine = np.repeat(mine, times)
+    both = np.minimum(mine, other) * np.repeat(times, times) + np.maximum(mine, other)
+    cut = mix(np.repeat(h[heavy], times) ^ mix(both.astype(U) + LINK))
+    join = lambda x, y: np.concatenate([x[~heavy], y])
+    return join(d, np.repeat(d[heavy], times)), join(h, cut), join(left, np.repeat(left[heavy], times)), size, sign
 
 
 def _meet(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by key. Pairs of different texts with a common key that pass the bounds."""
-    names = ("key", "text", "size", *(f"s{i}" for i in range(8)))
+    names = ("key", "left", "text", "size", *(f"s{i}" for i in range(8)))
     rest: list[np.ndarray] | None = None
-    seen: set[tuple[int, int]] = set()
-
-    def pairs(x: list[np.ndarray]) -> pa.RecordBatch:
-        key, text, size = x[:3]
-        end = np.searchsorted(key, key, "right")
-        left = end - np.arange(len(key)) - 1
-        a_out, b_out, step = [], [], 1
-        at = np.flatnonzero(left >= 1)
+    recent = np.zeros((RECENT, 2), np.int64)  # pairs that were sent, so that most go out once
+    share = similarity / (1 + similarity)  # of both sizes together, that similar sets have in common
+
+    def send(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        a, b = (np.concatenate(z) for z in zip(*found))
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        o = np.lexsort((b, a))
+        ab = np.stack([a[o], b[o]], 1)
+        ab = ab[np.append(True, (ab[1:] != ab[:-1]).any(axis=1))]
+        at = (mix(ab[:, 0].astype(U) ^ mix(ab[:, 1].astype(U))) & U(RECENT - 1)).astype(np.int64)
+        new = (recent[at] != ab).any(axis=1)
+        recent[at[new]] = ab[new]
+        return pa.RecordBatch.from_pydict({"a": pa.array(ab[new, 0]), "b": pa.array(ab[new, 1])})
+
+    def pairs(x: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key, left, text, size = x[:4]
+        need = share * size - 5e-10
+        after = np.searchsorted(key, key, "right") - np.arange(len(key)) - 1
+        found, n, step = [], 0, 1
+        at = np.flatnonzero(after >= 1)
         while len(at):
             b = at + step
-            total = size[at] + size[b]
-            bound = total - 2 * np.ceil(total * (similarity / (1 + similarity)) - 1e-9)
-            ok = (text[at] != text[b]) & (np.minimum(size[at], size[b]) >= similarity * np.maximum(size[at], size[b]) - 1e-9)
+            ok = (np.minimum(left[at], left[b]) >= need[at] + need[b]) & (text[at] != text[b])
             ai, bi = at[ok], b[ok]
-            low = [x[k][ai] ^ x[k][bi] for k in range(3, 7)]
-            hit = sum(np.bitwise_count(v.view(U)).astype(np.int64) for v in low) <= bound[ok]
-            ai, bi, low, most = ai[hit], bi[hit], [v[hit] for v in low], bound[ok][hit]
-            up = [x[k][ai] ^ x[k][bi] for k in range(7, 11)]
+            total = size[ai] + size[bi]
+            most = total - 2 * np.ceil(total * share - 1e-9)
+            low = [x[k][ai] ^ x[k][bi] for k in range(4, 8)]
+            hit = sum(np.bitwise_count(v.view(U)).astype(np.int64) for v in low) <= most
+            ai, bi, low, most = ai[hit], bi[hit], [v[hit] for v in low], most[hit]
+            up = [x[k][ai] ^ x[k][bi] for k in range(8, 12)]
             wide = (size[ai] >= WIDE) & (size[bi] >= WIDE)
             hit = ~wide | (sum(np.bitwise_count(v.view(U)).astype(np.int64) + np.bitwise_count((v ^ w).view(U)) for v, w in zip(up, low)) <= most)
-            a_out.append(np.minimum(text[ai[hit]], text[bi[hit]]))
-            b_out.append(np.maximum(text[ai[hit]], text[bi[hit]]))
+            if hit.any():
+                found.append((text[ai[hit]], text[bi[hit]]))
+                n += len(found[-1][0])
+            if n >= SENT:
+                yield send(found)
+                found, n = [], 0
             step += 1
-            at = at[left[at] >= step]
-        a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a_out, b_out))
-        ab = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        if len(seen) > 1_000_000:
-            seen.clear()
-        new = [i for i, t in enumerate(map(tuple, ab.tolist())) if t not in seen]
-        seen.update(map(tuple, ab[new].tolist()))
-        return pa.RecordBatch.from_pydict({"a": pa.array(ab[new, 0]), "b": pa.array(ab[new, 1])})
+            at = at[after[at] >= step]
+        if found:
+            yield send(found)
 
     def collected() -> Iterator[list[np.ndarray]]:
         some: list[pa.RecordBatch] = []
@@ -271,24 +222,25 @@ def _meet(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.R
         cut = int(np.searchsorted(x[0], x[0][-1]))  # the last key may go on in the next batch
         rest = [y[cut:] for y in x]
         if cut:
-            yield pairs([y[:cut] for y in x])
+            yield from pairs([y[:cut] for y in x])
     if rest is not None:
-        yield pairs(rest)
+        yield from pairs(rest)
 
 
 def similar_texts(df: DataFrame, id_col: str, text: str, *, least: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Records with enough words by text (id, text: a hash of its words), and the pairs of similar texts (a, b)."""
     df = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    counts, cost = costs(df, "text", least, similarity)
+    counts, cost = costs(df, "text", least)
     spark = df.sparkSession
     known = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))  # BUCKETS numbers
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keep, w, h in _fresh(batches, "text", least):
-            d, k, size, sign = keys(w, keep, known.value, cost, similarity)
-            yield pa.RecordBatch.from_pydict({"key": pa.array(k.view(np.int64)), "text": pa.array(h[d].view(np.int64)), "size": pa.array(size[d].astype(np.int32))} | {f"s{i}": pa.array(sign[d, i]) for i in range(8)})
+            d, k, left, size, sign = keys(w, keep, known.value, cost, similarity)
+            # What differs within a text comes first: the rest of a row repeats the row before, and compresses to a few bytes.
+            yield pa.RecordBatch.from_pydict({"key": pa.array(k.view(np.int64)), "left": pa.array(left.astype(np.int32)), "text": pa.array(h[d].view(np.int64)), "size": pa.array(size[d].astype(np.int32))} | {f"s{i}": pa.array(sign[d, i]) for i in range(8)})
 
-    posted = df.select("text").mapInArrow(post, "key long, text long, size int, " + ", ".join(f"s{i} long" for i in range(8)))
+    posted = df.select("text").mapInArrow(post, "key long, left int, text long, size int, " + ", ".join(f"s{i} long" for i in range(8)))
     met = posted.repartition("key").sortWithinPartitions("key").mapInArrow(lambda it: _meet(it, similarity), "a long, b long")
     met = durable(met.distinct())
 

@@ -108,6 +108,20 @@ def test_large_sets_by_lists(spark, near_rows, monkeypatch):
     assert {tuple(r) for r in neardup.near_pairs(df, "rec_id", "instruction").collect()} == brute(near_rows)
 
 
+def test_family_beyond_a_light_list(spark, monkeypatch):
+    r = random.Random(11)
+    base = [r.choice(VOCAB) for _ in range(90)]
+    texts = [" ".join(w if (k + 1) % 12 else f"slot{i}x{k}" for k, w in enumerate(base)) for i in range(300)]  # Jaccard 0.615, no 12 words in a row in common
+    df = spark.createDataFrame(list(enumerate(texts)), "rec_id bigint, instruction string").repartition(3)
+    assert similar(texts[0], texts[1])
+    every = {(i, j) for i in range(300) for j in range(i + 1, 300)}
+    assert {tuple(x) for x in neardup.near_pairs(df, "rec_id", "instruction").collect()} == every
+    assert {x.links for x in neardup.near_classes(df, "rec_id", "instruction").collect()} == {299}
+    monkeypatch.setattr(neardup, "LIST", 70)  # lists are cut into parts, pairs sent in pieces
+    monkeypatch.setattr(neardup, "SENT", 1000)
+    assert {tuple(x) for x in neardup.near_pairs(df, "rec_id", "instruction").collect()} == every
+
+
 def test_hot_copies(spark, monkeypatch):
     monkeypatch.setattr(neardup, "PART", 7)  # copies are cut into parts
     r = random.Random(2)
