@@ -97,21 +97,20 @@ def is_cut(t: str, likely: np.ndarray) -> bool:
     """Does it stop before its last sentence, formula, list entry or code block is complete?"""
     if t.count("```") % 2:
         return True
-    s = t.rstrip()
-    tail = s[max(0, len(s) - 3000) :] if "```" not in s else s
-    tail = re.sub(r"```.*?```", " Formula. ", tail, flags=re.S)
-    if tail.rfind("\\[") > tail.rfind("\\]") or tail.rfind("\\(") > tail.rfind("\\)"):
+    s = re.sub(r"```.*?```", " Formula. ", t.rstrip(), flags=re.S)
+    signs = s.replace("\\\\", "  ").replace("\\$", "")  # the new line of a formula (\\[2pt]) and a dollar open nothing
+    if signs.rfind("\\[") > signs.rfind("\\]") or signs.rfind("\\(") > signs.rfind("\\)") or signs.count("$$") % 2:
         return True
-    last = tail[tail.rfind("\n") + 1 :]
-    if last.replace("\\$", "").replace("$$", "").count("$") % 2 or tail.count("$$") % 2 and len(tail) == len(s):
+    last = s[s.rfind("\n") + 1 :]
+    if signs[signs.rfind("\n") + 1 :].replace("$$", "").count("$") % 2:
         return True
     if re.search(r"\\[a-zA-Z]+\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\Z", last):
         return True
     if last.count("(") > last.count(")") and "(" in last[-2:]:
         return True
-    if re.fullmatch(r"\s*(?:[-+*•]|\(?\w{1,3}[.)])", last) and "\n" in tail.strip():
+    if re.fullmatch(r"\s*(?:[-+*•]|\(?\w{1,3}[.)])", last) and "\n" in s.strip():
         return True
-    plain = FORMULA.sub(" Formula. ", tail).rstrip()
+    plain = FORMULA.sub(" Formula. ", s).rstrip()
     if not plain:
         return False
     bare = plain.rstrip("\"”’'»)]}*_`> \t")
@@ -120,7 +119,7 @@ def is_cut(t: str, likely: np.ndarray) -> bool:
     if bare[-1] in ",;:([{=+-–—\\/&<^„“«":
         return True
     # No mark ends it: is what stands before the end what stands before ends elsewhere?
-    part = re.split(r"[.!?…:;](?!\d)|\n", bare)[-1]
+    part = re.split(r"[.!?…:;](?!\d)", bare[bare.rfind("\n") + 1 :])[-1]
     n = len(re.findall(r"[^\W\d_]{2,}", part))
     lines = [x for x in plain.split("\n") if x.strip()]
     peers = [x for x in lines[:-1] if ENTRY.match(x)] if ENTRY.match(lines[-1]) else []
@@ -128,7 +127,7 @@ def is_cut(t: str, likely: np.ndarray) -> bool:
     begun = n == 2 and MARK.search(bare[: -len(part)].rsplit("\n", 1)[-1])  # after a sentence on its line
     if not whole and not begun and n < 3 and not (n and MARK.search(plain) and re.search(r"[^\W\d_]{2,}\Z", part) and plain.rstrip()[-1:] == bare[-1:] and not re.search(r":\s*\w+\Z", plain) and "\n" not in plain[len(plain) - len(part) - 2 :]):
         return False
-    marked = whole if peers else len(MARK.findall(plain[: -len(part) or None])) > 0
+    marked = whole if peers else MARK.search(plain[: -len(part) or None]) is not None
     return likelihood(bare, likely) < (MARKED if marked else LIKELY)
 
 

@@ -270,6 +270,22 @@ def test_defects(spark, samples):
     assert defects.defects(df.limit(0), known, id_col="rec_id", instruction="instruction", response="response").count() == 0
 
 
+def test_long_responses_are_judged_whole(monkeypatch):
+    likely = np.zeros(1 + 2 * len(defects.ROWS) * defects.ENDS, np.int64)
+    much = "\n".join([SAY["en"][0]] * 50)
+    line = much.replace("\n", " ")
+    assert len(line) > 3000
+    for t in ("It is cold. $$ x = 1\n" + much, "It is cold. \\[ x = 1\n" + much, "It is cold. \\( x = 1\n" + much, "It is cold. $x = " + line):
+        assert defects.is_cut(t, likely), t[:30]
+    at = line[-2995:]  # a formula over the place that lies 3,000 characters before the end
+    for t in (line, "$$ x = 1 $$\n" + much, "\\[ x = 1 \\]\n" + much, line + " $x = 1 + 2 + 3$" + at, "$$ x \\\\[2pt] y $$\n" + much):
+        assert not defects.is_cut(t, likely), t[:30]
+    # Marks of sentences far before the end count as well.
+    monkeypatch.setattr(defects, "likelihood", lambda *a: 0.5)
+    plain = line.replace(".", "")
+    assert defects.is_cut("It is cold. " + plain, likely) and not defects.is_cut(plain, likely)
+
+
 # --- Encoding.
 
 
