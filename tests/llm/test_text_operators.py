@@ -122,6 +122,19 @@ def test_family_beyond_a_light_list(spark, monkeypatch):
     assert {tuple(x) for x in neardup.near_pairs(df, "rec_id", "instruction").collect()} == every
 
 
+def test_short_texts_with_spread_edits(spark):
+    r = random.Random(12)
+    rows = []
+    for n, places in ((20, (6, 13)), (29, (7, 14, 21)), (38, (8, 15, 22, 29))):
+        for _ in range(40):
+            base = [r.choice(VOCAB) for _ in range(n)]
+            rows += [" ".join(base), " ".join(f"edit{k}" if k in places else w for k, w in enumerate(base))]
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "rec_id bigint, instruction string")
+    got = {tuple(x) for x in neardup.near_pairs(df, "rec_id", "instruction").collect()}
+    assert got == brute(rows) and len(got) == 120
+
+
 def test_hot_copies(spark, monkeypatch):
     monkeypatch.setattr(neardup, "PART", 7)  # copies are cut into parts
     r = random.Random(2)
