@@ -288,6 +288,15 @@ def near_classes(df: DataFrame, id_col: str, text: str, *, least: int = 20, simi
     return ids.join(texts, "text").select(F.col("id").alias("rec_id"), "class_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
 
 
+def near_links(df: DataFrame, id_col: str, text: str, *, least: int = 20, similarity: float = 0.5) -> DataFrame:
+    """``class_a``, ``class_b`` (smaller first): the similar pairs of different texts, each text as the class of near_classes."""
+    ids, similar = similar_texts(df, id_col, text, least=least, similarity=similarity)
+    of = ids.groupBy("text").agg(F.min("id").alias("c"))
+    both = similar.join(of.withColumnsRenamed({"text": "a", "c": "ca"}), "a").join(of.withColumnsRenamed({"text": "b", "c": "cb"}), "b")
+    # One record may come with two texts, so that both have it as their class.
+    return both.select(F.least("ca", "cb").alias("class_a"), F.greatest("ca", "cb").alias("class_b")).where("class_a < class_b").distinct()
+
+
 def near_pairs(df: DataFrame, id_col: str, text: str, *, least: int = 20, similarity: float = 0.5) -> DataFrame:
     """``id_a``, ``id_b`` (smaller first): every pair of records with ``least`` or more words each whose shingle sets
     have a Jaccard similarity of at least ``similarity``. See the module for what is complete, and for nulls and copies.

@@ -20,7 +20,15 @@ def p1_found(s: SparkSession, d: str) -> DataFrame:
 
 
 def p1_classes(s: SparkSession, d: str) -> DataFrame:
-    return neardup.near_classes(_read(s, d, "json_rows"), "rec_id", "instruction", least=20, similarity=0.5)
+    """One row for each record; one without an instruction of 20 or more words is a class of its own, with no links."""
+    rows = _read(s, d, "json_rows")
+    got = neardup.near_classes(rows, "rec_id", "instruction", least=20, similarity=0.5)
+    every = rows.select(F.col("rec_id").cast("long").alias("rec_id")).where("rec_id is not null").distinct()
+    return every.join(got, "rec_id", "left").select("rec_id", F.coalesce("class_id", "rec_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+
+
+def p1_links(s: SparkSession, d: str) -> DataFrame:
+    return neardup.near_links(_read(s, d, "json_rows"), "rec_id", "instruction", least=20, similarity=0.5)
 
 
 def p2_found(s: SparkSession, d: str) -> DataFrame:
@@ -75,7 +83,7 @@ def p8_statistics(s: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_classes, p2_found, p2_leaks, p3_found, p3_segments, p4_draws, p4_shares, p5_found, p6_ids, p7_places, p7_fill, p8_found, p8_statistics)}
+    return {f.__name__: f for f in (p1_found, p1_classes, p1_links, p2_found, p2_leaks, p3_found, p3_segments, p4_draws, p4_shares, p5_found, p6_ids, p7_places, p7_fill, p8_found, p8_statistics)}
 
 
 def oracle_sql() -> dict[str, str]:

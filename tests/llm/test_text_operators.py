@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusloom.llm import bounded, defects, encode, languages, leaks, neardup, quality, words
+from corpusloom.llm import bounded, defects, encode, languages, leaks, neardup, quality, queries, words
 
 VOCAB = [a + b + c for a in "bdfglmnprst" for b in "aeiou" for c in ("n", "r", "st", "x", "m")]
 
@@ -157,6 +157,15 @@ def test_classes(spark, near_rows):
     assert {i: n for i, (_, n) in got.items()} == {i: len(v) for i, v in links.items()}
 
 
+def test_classes_of_all_records(spark, near_rows, tmp_path):
+    spark.createDataFrame(near_rows, "rec_id bigint, instruction string").write.parquet(f"{tmp_path}/json_rows.parquet")
+    got = {r.rec_id: (r.class_id, r.links) for r in queries.p1_classes(spark, str(tmp_path)).collect()}
+    assert set(got) == {i for i, _ in near_rows}
+    assert all(got[i] == (i, 0) for i, t in near_rows if len(plain_words(t)) < 20)
+    links = {tuple(r) for r in queries.p1_links(spark, str(tmp_path)).collect()}
+    assert links == {(min(a, b), max(a, b)) for a, b in ((got[i][0], got[j][0]) for i, j in brute(near_rows)) if a != b}
+
+
 def test_signature_bound():
     r = random.Random(3)
     for n in (40, 95, 96, 150, 400):
