@@ -201,8 +201,8 @@ def find(x: Profiles, sym: np.ndarray, likely: np.ndarray, instruction: list[str
             out[i] = "empty"
         elif is_refusal(t, inst[i]):
             out[i] = "refusal"
-    long = [i for i in range(n) if out[i] is None and len(response[i]) >= 12]
-    # Copies: shared three-word sequences.
+    long = [i for i in range(n) if out[i] is None]
+    # Copies: shared three-word sequences; of fewer than three such sequences, the same words.
     a, b = words([response[i] for i in long]), words([inst[i] for i in long])
     ga, oka = chains(a, 3)
     gb, okb = chains(b, 3)
@@ -213,12 +213,17 @@ def find(x: Profiles, sym: np.ndarray, likely: np.ndarray, instruction: list[str
     back = np.bincount(b.doc[: len(gb)][okb], np.isin(kb, ka), len(long))
     na, nb = np.bincount(a.doc[: len(ga)][oka], minlength=len(long)), np.bincount(b.doc[: len(gb)][okb], minlength=len(long))
     copy = (na >= 3) & (own >= COPY_OWN * na) & (back >= COPY_WHOLE * nb)
+    count = a.counts()
+    ends_a, ends_b = np.cumsum(count), np.cumsum(b.counts())
+    for k in np.flatnonzero((na < 3) & (count > 0) & (count == b.counts())).tolist():
+        said = slice(ends_a[k] - count[k], ends_a[k])
+        copy[k] = np.array_equal(a.hashes[said], b.hashes[ends_b[k] - count[k] : ends_b[k]])
     for k in np.flatnonzero(copy).tolist():
-        if not ASKS_COPY.search(inst[long[k]]):
+        # Letters and numbers alone are proper replies.
+        if not ASKS_COPY.search(inst[long[k]]) and re.search(r"[^\W\d_]{2}", response[long[k]]):
             out[long[k]] = "copy"
     # Languages of both.
-    said_words = a.counts()
-    long = [i for k, i in enumerate(long) if out[i] is None and said_words[k] >= 4]
+    long = [i for k, i in enumerate(long) if out[i] is None and count[k] >= 4 and len(response[i]) >= 12]
     spoken = []
     for texts, least in (([response[i] for i in long], 4), ([inst[i] for i in long], 6)):
         doc, lang, m, conf = segments(x, sym, texts)

@@ -308,6 +308,14 @@ def test_long_responses_are_judged_whole(monkeypatch):
     assert defects.is_cut("It is cold. " + plain, likely) and not defects.is_cut(plain, likely)
 
 
+def test_short_copies(samples):
+    x = languages.fit_bayes(samples)
+    likely = np.zeros(1 + 2 * len(defects.ROWS) * defects.ENDS, np.int64)
+    pairs = [("Name one cold canal.", "name one cold canal", "copy"), ("Solve it.", "Solve it.", "copy"), ("Repeat this: red.", "Repeat this: red.", None), ("Is it 7?", "Is it 8?", None), ("7 + x", "7 + x", None), ("Is it so?", "So it is.", None)]
+    got = defects.find(x, languages.symbols(x.symbol), likely, [a for a, _, _ in pairs], [b for _, b, _ in pairs])
+    assert [g if g == "copy" else None for g in got] == [d for _, _, d in pairs]
+
+
 # --- Encoding.
 
 
