@@ -112,7 +112,7 @@ def _rows(spark: SparkSession, task: str, path: str, spec: tokenize.Spec) -> Dat
     sound, broken = quarantine(raw, null_as_empty=True)
     if row := broken.first():
         raise ValueError(row.violation)
-    rows = readers.with_row_ids(sound.withColumn("task", F.lit(task)), "_at").select("task", "row_id", *RECORD.names)
+    rows = readers.with_row_ids_in_blocks(sound.withColumn("task", F.lit(task)), "_at").select("task", "row_id", *RECORD.names)
     return layout.row_offsets(tokenize.tokenized(rows, spec))
 
 

@@ -180,3 +180,12 @@ def npy_column(spark: SparkSession, path: str) -> DataFrame:
 def with_row_ids(df: DataFrame, *order: str) -> DataFrame:
     """row_id from 0 in each task, in the order of the columns given."""
     return df.withColumn("row_id", (F.row_number().over(Window.partitionBy("task").orderBy(*order)) - 1).cast("bigint"))
+
+
+def with_row_ids_in_blocks(df: DataFrame, at: str) -> DataFrame:
+    """As with_row_ids, by one column of whole numbers: numbered within blocks of 4,096 of them, after the rows of the blocks before, so
+    that no task's rows are sorted in one place."""
+    r = df.withColumn("_b", F.expr(f"{at} div 4096"))
+    blocks = r.groupBy("task", "_b").agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(Window.partitionBy("task").orderBy("_b")) - F.col("_n")).drop("_n")
+    within = F.row_number().over(Window.partitionBy("task", "_b").orderBy(at)) - 1
+    return r.withColumn("_w", within).join(blocks, ["task", "_b"]).withColumn("row_id", (F.col("_before") + F.col("_w")).cast("bigint")).drop("_b", "_w", "_before")

@@ -165,3 +165,13 @@ def test_tokenize_stage(spark, tmp_path):
     assert {r.task for r in spark.read.parquet(f"{tmp_path}/out/rows").select("task").distinct().collect()} == {"x.jsonl", "bad.jsonl", *(k[0] for k in rows if k[0].startswith("p__"))}
     put(f"{tmp_path}/s/12__more.jsonl", line("cot", "a", "b"))
     assert readers.sized(spark.read.json(f"{tmp_path}/s")).select("rsize", "name").first() == (12, "more.jsonl")
+
+
+def test_row_ids_in_blocks(spark):
+    df = spark.range(0, 30_000, 1, 3).select(F.lit("a").alias("task"), (F.col("id") * 3 + F.expr("id div 10000 * 8589934592")).alias("_at"))
+    got = readers.with_row_ids_in_blocks(df, "_at")
+    want = {r._at: r.row_id for r in readers.with_row_ids(df, "_at").collect()}
+    assert {r._at: r.row_id for r in got.collect()} == want and len(want) == 30_000
+    # Only rows of a block are sorted together: every window of the plan that sees rows has the block among its keys.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_b#" in x for x in plan.splitlines() if "Window [" in x)
