@@ -44,7 +44,7 @@ def gather(df: DataFrame, buckets: Callable[[Iterator[pa.RecordBatch]], Iterator
 
         table = np.zeros(size, np.int64)
         for x in buckets(batches):
-            table += np.bincount(x, minlength=size)
+            np.add.at(table, x, 1)
         yield _pack(TaskContext.get().partitionId(), table)
 
     parts = df.mapInArrow(count, SCHEMA)

@@ -1,27 +1,33 @@
 """Near-duplicate records: all pairs whose sets of three-word sequences (shingles) are similar.
 
-Method: a prefix-filter join over inverted lists, with heavy lists in parts.
-
-* Every text's shingles are put into one order of all data, the rarest first (by a count
-  table of fixed size, ``BUCKETS``), and as many go into the lists as the **prefix bound**
-  of the similarity asks for: of n shingles n - ceil(similarity * n) + 1. Two similar sets
-  always have a shingle of both prefixes in common, whatever their edits.
-* Two texts of a list are held against their **sizes and positions**: from the first
-  common shingle on, both must have as many shingles left as the similarity asks for. Then
-  against a parity **signature** (similar sets differ in few elements, hence in few parity
-  bits), and at last against the exact similarity. Each bound is provable.
-* A **heavy** list, of which the count says that it has more than ``part`` texts, is cut
-  into parts by the texts' hashes, and each two parts meet in a task of their own. No list
-  is dropped, however long.
-
-Exact copies count as one text until the end: a text is represented once, whatever the
-number of its copies, and pairs of records are made from pairs of texts.
-
-What is complete: every similar pair (of texts told apart by hashes of 64 bits). The price
-is that the work on a list grows with the square of its length; README has the figures.
-
-Nulls and texts of fewer than ``least`` words are in no pair. Repeated rows with the same
-id are one record. An empty table gives no pairs. Extra columns are ignored.
+Method: a size-aware heavy-light join, exact for every similarity.
+
+Every text's shingles are put into one order of all data, the rarest first (by a count table of ``BUCKETS`` numbers, taken
+over all texts). Of n shingles, two similar sets have at least need = ceil(similarity * n) in common, so the first k
+that they have in common are among the first n - need + k of each (the prefix of k). A shingle in more than ``LIGHT``
+texts is heavy; light ones come first in the order.
+
+* The first common shingle is **light**: the two meet in its inverted list, which is short. (A shingle that the counts
+  find in one text only can't be common and gets no list. Of the subsets below, one with a light shingle needs
+  no place of its own: this list holds all that it could.)
+* It is heavy, and both sets are **small**: then the first two common shingles are heavy and lie in both prefixes of 2,
+  so the two meet in one of the **subsets of fixed size 2** that every small set enumerates of the heavy shingles there.
+* It is heavy, and one set is **large**: they meet in its inverted list, in which large sets are held against all others
+  (small ones stand there to be found, but aren't held against each other).
+
+A set is large if it has more heavy shingles to choose from than the **boundary**, which **cost** chooses: with h of them, the
+subsets cost h (h - 1) / 2 postings and the lists h * L comparisons, L being the mean length of a heavy list in these data.
+
+Two texts of a list are held against their sizes and positions (from the first common shingle on, both must have as
+many left as the similarity asks for), then against a parity signature (similar sets differ in few elements, hence in few
+parity bits), and at last against the exact similarity. Each bound is provable. A heavy list, or a subset's, is cut
+into parts of about ``LIST`` texts by the texts' hashes, and each two parts meet in a task of their own. No list is dropped.
+
+Exact copies count as one text until the end: a text is represented once, whatever the number of its copies, and pairs of
+records are made from pairs of texts. What is complete: every similar pair (of texts told apart by hashes of 64 bits).
+
+Nulls and texts of fewer than ``least`` words are in no pair. Repeated rows with the same id are one record. An empty
+table gives no pairs. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,28 +45,33 @@ from corpusloom.llm.durable import durable
 from corpusloom.llm.words import LINK, U, Words, chains, column, groups, mix, words
 
 SHINGLE = 3
-BUCKETS, MARKS, RECENT = 1 << 21, 1 << 22, 1 << 20
+BUCKETS, MARKS, RECENT = 1 << 23, 1 << 23, 1 << 20
 #: Sets of so many shingles have signatures of 512 bits, smaller ones of 256.
 WIDE = 96
 LARGE = U(0x5BF03635F0935AD1)
 #: Records of one text that a task holds together.
 PART = 4096
-#: Texts of one list in a part of it at most.
-LIST = 1 << 14
+#: A shingle in more texts is heavy; texts of one list in a part of it at most.
+LIGHT, LIST = 1024, 1 << 14
+#: What sending and sorting a posting costs, in comparisons of two texts of a list (measured).
+POSTING = 80
 #: Postings that are paired at once, and pairs that are sent on at once.
 TOGETHER, SENT = 150_000, 500_000
 
 
 @dataclass(frozen=True)
 class Cost:
-    """``part``: texts of a list in one part at most. ``spare``: what a bucket's count holds beside any one list."""
+    """``light``: texts of a light list at most. ``spare``: what a bucket's count holds beside any one shingle (its mean).
+    ``boundary``: heavy shingles of a small set at most. ``part``: texts of one list in one part."""
 
-    part: int
+    light: int
     spare: int
+    boundary: int
+    part: int
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
-    return (h >> U(43)).astype(np.int64)  # of BUCKETS
+    return (h >> U(64 - BUCKETS.bit_length() + 1)).astype(np.int64)  # of BUCKETS
 
 
 def _texts(w: Words) -> np.ndarray:
@@ -119,7 +130,7 @@ def _fresh(batches: Iterator[pa.RecordBatch], text: str, least: int) -> Iterator
 
 
 def costs(df: DataFrame, text: str, least: int) -> tuple[np.ndarray, Cost]:
-    """How often each bucket of shingles occurs, counted over all data, and where lists are cut."""
+    """How often each bucket of shingles occurs, counted over all data, and the boundary that follows."""
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for keep, w, _ in _fresh(batches, text, least):
@@ -127,34 +138,68 @@ def costs(df: DataFrame, text: str, least: int) -> tuple[np.ndarray, Cost]:
             yield _bucket(mix(g ^ LARGE)[one & keep[w.doc[: len(g)]]])
 
     counts = gather(df.select(text), buckets, BUCKETS)
-    return counts, Cost(LIST, int(counts.mean()))
+    return counts, choose(counts)
+
+
+def choose(counts: np.ndarray, light: int | None = None, part: int | None = None) -> Cost:
+    """The boundary: with so many heavy shingles, a set's subsets cost as much as the heavy lists that it would scan."""
+    light, part, spare = light or LIGHT, part or LIST, int(counts.mean())
+    heavy = (counts[counts > light + spare] - spare).astype(np.float64)
+    mean = float((heavy**2).sum() / heavy.sum()) if len(heavy) else 0.0  # of the list of a heavy shingle as texts meet it
+    return Cost(light, spare, 1 + int(2 * mean / POSTING), part)
 
 
 def keys(w: Words, keep: np.ndarray, counts: np.ndarray, cost: Cost, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, key, and shingles from this one on (in the order of all data) of every meeting point; size and signature by text."""
+    """Text, key, and shingles from this one on (in the order of all data) of every meeting point; size and signature by text.
+
+    A key's last bit is set where a small set stands in a heavy list.
+    """
     d, g = _shingles(w, keep)
     size = np.bincount(d, minlength=w.n)
     sign = _signature(d, g, w.n)
     h = mix(g ^ LARGE)
-    count = counts[_bucket(h)]
+    count = counts[_bucket(h)].astype(np.int64)
     o = np.lexsort((h, count, d))
     d, h, count = d[o], h[o], count[o]
     left = size[d] - (np.arange(len(d)) - np.searchsorted(d, d))
-    ok = left >= np.ceil(similarity * size[d] - 1e-9)
-    d, h, count, left = d[ok], h[ok], count[ok], left[ok]
-    # A heavy list: the text's part of it meets each part, its own too.
-    parts = 1 + np.maximum(0, count.astype(np.int64) - cost.spare) // cost.part
-    heavy = parts > 1
-    if not heavy.any():
-        return d, h, left, size, sign
-    mine = (mix(_texts(w)[d[heavy]] ^ h[heavy]) % parts[heavy].astype(U)).astype(np.int64)
-    times = parts[heavy]
+    need = np.ceil(similarity * size[d] - 1e-9).astype(np.int64)
+    two = left >= need - 1
+    d, h, count, left, need = d[two], h[two], count[two], left[two], need[two]
+    one, guess = left >= need, np.maximum(count - cost.spare, 1)
+    heavy = guess > cost.light
+    light = one & ~heavy & (count > 1)
+    out = [(d[light], h[light] & ~U(1), left[light])]
+    if heavy.any():
+        texts = _texts(w)
+        many = np.bincount(d[heavy], minlength=w.n)
+        # A set of which one common shingle is enough has no subsets.
+        large = (many > cost.boundary) | (np.ceil(similarity * size - 1e-9) < 2)
+        at = np.flatnonzero(heavy & one)
+        out.append(_parts(d[at], h[at], left[at], guess[at], texts, cost.part, (~large[d[at]]).astype(U)))
+        # The subsets: every heavy shingle (of the prefix of 1) with each later one (of the prefix of 2).
+        at = np.flatnonzero(heavy & ~large[d])
+        later = np.searchsorted(d[at], d[at], "right") - np.arange(len(at)) - 1
+        i = np.repeat(np.arange(len(at)), later)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later) - later, later)
+        i, j = at[i], at[j]
+        i, j = i[one[i]], j[one[i]]
+        out.append(_parts(d[i], mix(h[i] * LINK + h[j]), left[j] + 1, np.minimum(guess[i], guess[j]), texts, cost.part, U(0)))
+    return *(np.concatenate(x) for x in zip(*out)), size, sign
+
+
+def _parts(d: np.ndarray, h: np.ndarray, left: np.ndarray, most: np.ndarray, texts: np.ndarray, part: int, flag: np.ndarray | U) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, key and left of lists that are cut where they may have more than ``part`` texts: a text's part of a list meets each part, its own too."""
+    parts = 1 + (most - 1) // part
+    flag = np.broadcast_to(flag, len(d))
+    if not len(d) or parts.max() == 1:
+        return d, h & ~U(1) | flag, left
+    mine = (mix(texts[d] ^ h) % parts.astype(U)).astype(np.int64)
+    times = parts
     other = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     mine = np.repeat(mine, times)
     both = np.minimum(mine, other) * np.repeat(times, times) + np.maximum(mine, other)
-    cut = mix(np.repeat(h[heavy], times) ^ mix(both.astype(U) + LINK))
-    join = lambda x, y: np.concatenate([x[~heavy], y])
-    return join(d, np.repeat(d[heavy], times)), join(h, cut), join(left, np.repeat(left[heavy], times)), size, sign
+    key = np.where(np.repeat(times, times) > 1, mix(np.repeat(h, times) ^ mix(both.astype(U) + LINK)), np.repeat(h, times))
+    return np.repeat(d, times), key & ~U(1) | np.repeat(flag, times), np.repeat(left, times)
 
 
 def _meet(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
@@ -178,7 +223,8 @@ def _meet(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.R
     def pairs(x: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         key, left, text, size = x[:4]
         need = share * size - 5e-10
-        after = np.searchsorted(key, key, "right") - np.arange(len(key)) - 1
+        # Small sets come last in a heavy list and are held against large ones only.
+        after = np.where(key & 1, 0, np.searchsorted(key, key | 1, "right") - np.arange(len(key)) - 1)
         found, n, step = [], 0, 1
         at = np.flatnonzero(after >= 1)
         while len(at):
@@ -219,7 +265,7 @@ def _meet(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.R
             x = [np.concatenate([r, y]) for r, y in zip(rest, x)]
         if not len(x[0]):
             continue
-        cut = int(np.searchsorted(x[0], x[0][-1]))  # the last key may go on in the next batch
+        cut = int(np.searchsorted(x[0], x[0][-1] & -2))  # the last key may go on in the next batch
         rest = [y[cut:] for y in x]
         if cut:
             yield from pairs([y[:cut] for y in x])
@@ -241,13 +287,13 @@ def similar_texts(df: DataFrame, id_col: str, text: str, *, least: int, similari
             yield pa.RecordBatch.from_pydict({"key": pa.array(k.view(np.int64)), "left": pa.array(left.astype(np.int32)), "text": pa.array(h[d].view(np.int64)), "size": pa.array(size[d].astype(np.int32))} | {f"s{i}": pa.array(sign[d, i]) for i in range(8)})
 
     posted = df.select("text").mapInArrow(post, "key long, left int, text long, size int, " + ", ".join(f"s{i} long" for i in range(8)))
-    met = posted.repartition("key").sortWithinPartitions("key").mapInArrow(lambda it: _meet(it, similarity), "a long, b long")
+    met = posted.repartition(F.shiftright("key", 1)).sortWithinPartitions("key").mapInArrow(lambda it: _meet(it, similarity), "a long, b long")
     met = durable(met.distinct())
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for b in batches:
             for i in range(2):
-                yield (b.column(i).to_numpy(zero_copy_only=False).view(U) >> U(42)).astype(np.int64)
+                yield (b.column(i).to_numpy(zero_copy_only=False).view(U) >> U(64 - MARKS.bit_length() + 1)).astype(np.int64)
 
     wanted = spark.sparkContext.broadcast(np.packbits(gather(met.select("a", "b"), marks, MARKS) > 0))  # MARKS bits
 
@@ -259,7 +305,7 @@ def similar_texts(df: DataFrame, id_col: str, text: str, *, least: int, similari
                 w = words(g)
                 keep = w.counts() >= least
                 h = _texts(w)
-                m = (h >> U(42)).astype(np.int64)
+                m = (h >> U(64 - MARKS.bit_length() + 1)).astype(np.int64)
                 need = keep & ((marked[m >> 3] >> (7 - (m & 7)).astype(np.uint8)) & 1).astype(bool)
                 # The set of a text goes out once from each task, however many its copies.
                 once = np.zeros(w.n, bool)
@@ -297,6 +343,37 @@ def near_links(df: DataFrame, id_col: str, text: str, *, least: int = 20, simila
     return both.select(F.least("ca", "cb").alias("class_a"), F.greatest("ca", "cb").alias("class_b")).where("class_a < class_b").distinct()
 
 
+def near_groups(df: DataFrame, id_col: str, text: str, *, least: int = 20, similarity: float = 0.5) -> DataFrame:
+    """rec_id, group_id: of every record with ``least`` or more words, the least id that a chain of similar texts (or copies) leads to."""
+    ids, similar = similar_texts(df, id_col, text, least=least, similarity=similarity)
+    of = durable(ids.groupBy("text").agg(F.min("id").alias("c")))
+    edges = similar.join(of.withColumnsRenamed({"text": "a", "c": "u"}), "a").join(of.withColumnsRenamed({"text": "b", "c": "v"}), "b").select("u", "v")
+    lead = components(edges)
+    texts = of.join(lead, of.c == lead.node, "left").select("text", F.coalesce("root", "c").alias("group_id"))
+    return ids.join(texts, "text").groupBy(F.col("id").alias("rec_id")).agg(F.min("group_id").alias("group_id"))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, root: the least node of its connected component, for every node with an edge to another. ``edges``: u, v (long).
+
+    Large and small stars in turn (each a minimum by node and a join): the larger neighbours of a node are linked to its least neighbour,
+    then the smaller ones, until nothing changes. Every round is written down; only a count and a sum come to the driver.
+    """
+    now = durable(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    before = None
+    while True:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        now = durable(small)
+        state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if state == before:
+            return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        before = state
+
+
 def near_pairs(df: DataFrame, id_col: str, text: str, *, least: int = 20, similarity: float = 0.5) -> DataFrame:
     """``id_a``, ``id_b`` (smaller first): every pair of records with ``least`` or more words each whose shingle sets
     have a Jaccard similarity of at least ``similarity``. See the module for what is complete, and for nulls and copies.

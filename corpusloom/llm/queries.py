@@ -31,6 +31,14 @@ def p1_links(s: SparkSession, d: str) -> DataFrame:
     return neardup.near_links(_read(s, d, "json_rows"), "rec_id", "instruction", least=20, similarity=0.5)
 
 
+def p1_groups(s: SparkSession, d: str) -> DataFrame:
+    """One row for each record: the least id that a chain of similar instructions leads to; its own where there is none."""
+    rows = _read(s, d, "json_rows")
+    got = neardup.near_groups(rows, "rec_id", "instruction", least=20, similarity=0.5)
+    every = rows.select(F.col("rec_id").cast("long").alias("rec_id")).where("rec_id is not null").distinct()
+    return every.join(got, "rec_id", "left").select("rec_id", F.coalesce("group_id", "rec_id").alias("group_id"))
+
+
 def p2_found(s: SparkSession, d: str) -> DataFrame:
     return p2_leaks(s, d).where("exact").select("rec_id", "item_id").distinct()
 
@@ -83,7 +91,7 @@ def p8_statistics(s: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_classes, p1_links, p2_found, p2_leaks, p3_found, p3_segments, p4_draws, p4_shares, p5_found, p6_ids, p7_places, p7_fill, p8_found, p8_statistics)}
+    return {f.__name__: f for f in (p1_found, p1_classes, p1_links, p1_groups, p2_found, p2_leaks, p3_found, p3_segments, p4_draws, p4_shares, p5_found, p6_ids, p7_places, p7_fill, p8_found, p8_statistics)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -101,11 +101,67 @@ def test_near_pairs(spark, near_rows):
     assert neardup.near_pairs(df.limit(0), "rec_id", "instruction").count() == 0
 
 
-def test_large_sets_by_lists(spark, near_rows, monkeypatch):
+@pytest.mark.parametrize("boundary", [0, 4, 10**9])
+def test_heavy_shingles(spark, near_rows, monkeypatch, boundary):
+    """Nearly all shingles are heavy: all sets are large, some, or none."""
     counts = neardup.costs
-    monkeypatch.setattr(neardup, "costs", lambda *a: (counts(*a)[0], neardup.Cost(256, 0)))  # all sets are large
+    monkeypatch.setattr(neardup, "costs", lambda *a: (counts(*a)[0], neardup.Cost(1, 0, boundary, 1 << 14)))
+    rows = [(i, t) for i, t in near_rows if len(t or "") < 5000]
+    df = spark.createDataFrame(rows, "rec_id bigint, instruction string")
+    assert {tuple(r) for r in neardup.near_pairs(df, "rec_id", "instruction").collect()} == brute(rows)
+
+
+def test_boundary_follows_the_cost():
+    counts = np.zeros(1000, np.int64)
+    counts[:10] = 4000
+    cost = neardup.choose(counts, light=100)
+    assert cost.spare == 40 and cost.boundary == 1 + 2 * 3960 // neardup.POSTING
+    counts[:10] *= 10
+    assert neardup.choose(counts, light=100).boundary > 9 * cost.boundary
+    assert neardup.choose(np.ones(1000, np.int64)).boundary == 1
+
+
+@pytest.mark.parametrize("boundary", [0, 30, 10**9])
+def test_both_sides_find_rows(spark, monkeypatch, boundary):
+    """A family whose common shingles are all heavy: found by subsets alone, by lists alone, and by both."""
+    r = random.Random(13)
+    base = [r.choice(VOCAB) for _ in range(60)]
+    texts = [" ".join(w if k % 9 or (k + i) % 2 else f"s{i}x{k}" for k, w in enumerate(base[: 40 + 20 * (i % 2)])) for i in range(80)]
+    rows = list(enumerate(texts))
+    counts = neardup.costs
+    monkeypatch.setattr(neardup, "costs", lambda *a: (counts(*a)[0], neardup.Cost(8, 0, boundary, 25)))
+    df = spark.createDataFrame(rows, "rec_id bigint, instruction string").repartition(3)
+    known, cost = neardup.costs(df, "instruction", 20)
+    w = words.words(texts)
+    d, k, *_ = neardup.keys(w, np.ones(w.n, bool), known, cost, 0.5)
+    assert bool(((k & np.uint64(1)) == 1).any()) == (boundary > 0)
+    want = brute(rows)
+    assert len(want) > 1000 and {tuple(x) for x in neardup.near_pairs(df, "rec_id", "instruction").collect()} == want
+
+
+def test_components(spark):
+    r = random.Random(3)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100 + r.randrange(30), 100 + r.randrange(30)) for _ in range(25)] + [(200, i) for i in range(201, 260)] + [(7, 7)]
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {x.node: x.root for x in neardup.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert got == {x: find(x) for x in linked}
+    assert neardup.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_groups_of_records(spark, near_rows):
     df = spark.createDataFrame(near_rows, "rec_id bigint, instruction string")
-    assert {tuple(r) for r in neardup.near_pairs(df, "rec_id", "instruction").collect()} == brute(near_rows)
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in sorted(brute(near_rows)):
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {x.rec_id: x.group_id for x in neardup.near_groups(df, "rec_id", "instruction").collect()}
+    assert got == {i: find(i) for i, t in near_rows if len(plain_words(t)) >= 20}
 
 
 def test_family_beyond_a_light_list(spark, monkeypatch):
