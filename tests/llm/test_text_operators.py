@@ -273,15 +273,69 @@ def test_leaks_in_blocks(spark, monkeypatch):
     assert sorted((x.rec_id, x.item_id) for x in leaks.leaks(corpus, items, id_col="id", fields=("t",), item_id="i", question="t").collect()) == [(i, i) for i in range(5)]
 
 
+def _find(x, texts, run):
+    table = np.zeros(1 << leaks.TABLE_BITS, bool)
+    table[(x.probe & np.uint64((1 << leaks.TABLE_BITS) - 1)).astype(np.int64)] = True
+    return leaks.find(x, leaks.prepare(texts, run), table, run)
+
+
 def test_long_items_in_pieces(monkeypatch):
-    monkeypatch.setattr(leaks, "ITEM_CHARS", 200)
+    monkeypatch.setattr(leaks, "BLOCK_CHARS", 600)
     r = random.Random(8)
     text = " ".join(r.choice(VOCAB) for _ in range(300))
-    x = leaks.build([(9, text)], 16, 1)
-    table = np.zeros(1 << leaks.TABLE_BITS, bool)
-    table[(x.probe & np.uint64((1 << leaks.TABLE_BITS) - 1)).astype(np.int64)] = True
+    x = leaks.build([(9, text.replace(" ", " - ; - "))], 16, 1)  # blanks divide more than words
+    assert len(x.item) > 3
     parts = [" ".join(text.split()[i : i + 16]) for i in range(285)]
-    assert {d for d, i, *_ in leaks.find(x, parts, table, 16) if i == 9} == set(range(285))
+    assert {d for d, i, *_ in _find(x, parts, 16) if i == 9} == set(range(285))
+
+
+def test_one_scan_for_many_items(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "BLOCK", 50)
+    monkeypatch.setattr(leaks, "TOGETHER", 200)
+    items = spark.createDataFrame([(i, " ".join(VOCAB[(i * 7 + k * k) % len(VOCAB)] for k in range(18))) for i in range(1000)], "i bigint, t string")
+    df = leaks.leaks(items, items, id_col="i", fields=("t",), item_id="i", question="t")
+    assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {(x.rec_id, x.item_id) for x in df.where("exact").collect()} >= {(i, i) for i in range(1000)}
+
+
+def test_alignment_decides(monkeypatch):
+    r = random.Random(9)
+    q = [" ".join(r.choice(VOCAB) for _ in range(24)) for _ in range(6)]
+    x = leaks.build(list(enumerate(q)), 16, 1)
+    texts = ["a " + q[0] + " b", q[1].replace(" ", "  ").upper(), q[2][:-3], "z" + q[3]]
+    assert {(d, i, e) for d, i, _, e, _ in _find(x, texts, 16)} == {(k, k, True) for k in range(4)}
+    monkeypatch.setattr(leaks, "distances", lambda a, first, *z: (np.full(len(first), 9), np.zeros(len(first), np.int64)))
+    assert _find(x, texts, 16) == []
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.text("ab", min_size=1, max_size=9), st.text("ab", max_size=12), st.integers(-3, 12)), min_size=1, max_size=6), st.integers(0, 2))
+def test_distances_in_a_band(pairs, most):
+    def brute_distance(a, b, at):
+        best = min(most + 1, len(a))
+        for i in range(max(0, at - 2 * most), min(len(b), at + 2 * most) + 1):
+            row = {j: j - i for j in range(i, len(b) + 1)}
+            for k, ch in enumerate(a):
+                new = {}
+                for j in range(i, len(b) + 1):
+                    new[j] = min([row[j] + 1, *([row[j - 1] + (b[j - 1] != ch), new[j - 1] + 1] if j > i else [])])
+                row = new
+            best = min(best, *row.values())
+        return best
+
+    a = "".join(x for x, _, _ in pairs)
+    b = "".join(y for _, y, _ in pairs)
+    codes = lambda s: np.frombuffer(s.encode("utf-32-le"), np.uint32)
+    size = np.array([len(x) for x, _, _ in pairs])
+    long = np.array([len(y) for _, y, _ in pairs])
+    lo = np.cumsum(long) - long
+    at = lo + np.array([k for *_, k in pairs])
+    got, _ = leaks.distances(codes(a), np.cumsum(size) - size, size, codes(b) if b else np.zeros(1, np.uint32), at, lo, lo + long, most)
+    for n, (x, y, k) in zip(got.tolist(), pairs):
+        want = brute_distance(x, y, k)
+        assert n >= want  # the band holds every way that keeps within it
+        if 0 <= k <= len(y) - len(x) and y[k : k + len(x)] == x:
+            assert n == 0
 
 
 # --- Languages and defects.
