@@ -47,7 +47,7 @@ from corpusloom.llm.words import LINK, U, Words, chains, column, groups, mix, wo
 SHINGLE = 3
 BUCKETS, MARKS, RECENT = 1 << 23, 1 << 23, 1 << 20
 #: Sets of so many shingles have signatures of 512 bits, smaller ones of 256.
-WIDE = 96
+WIDE = 128
 LARGE = U(0x5BF03635F0935AD1)
 #: Records of one text that a task holds together.
 PART = 4096
@@ -149,8 +149,18 @@ def choose(counts: np.ndarray, light: int | None = None, part: int | None = None
     return Cost(light, spare, 1 + int(2 * mean / POSTING), part)
 
 
+def coded(counts: np.ndarray) -> np.ndarray:
+    """Counts in a byte each: exact below 128, then four steps to every doubling (rounded down)."""
+    big = np.floor(4 * np.log2(np.maximum(counts, 128) / 128))
+    return np.where(counts < 128, counts, 128 + np.minimum(big, 127)).astype(np.uint8)
+
+
+#: What a byte stands for.
+DECODED = np.array([*range(128), *(int(128 * 2 ** (i / 4)) for i in range(128))], np.int64)
+
+
 def keys(w: Words, keep: np.ndarray, counts: np.ndarray, cost: Cost, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, key, and shingles from this one on (in the order of all data) of every meeting point; size and signature by text.
+    """Text, key, and shingles from this one on (in the order of all data) of every meeting point; size and signature by text. ``counts``: coded.
 
     A key's last bit is set where a small set stands in a heavy list.
     """
@@ -158,7 +168,7 @@ def keys(w: Words, keep: np.ndarray, counts: np.ndarray, cost: Cost, similarity:
     size = np.bincount(d, minlength=w.n)
     sign = _signature(d, g, w.n)
     h = mix(g ^ LARGE)
-    count = counts[_bucket(h)].astype(np.int64)
+    count = DECODED[counts[_bucket(h)]]
     o = np.lexsort((h, count, d))
     d, h, count = d[o], h[o], count[o]
     left = size[d] - (np.arange(len(d)) - np.searchsorted(d, d))
@@ -278,7 +288,7 @@ def similar_texts(df: DataFrame, id_col: str, text: str, *, least: int, similari
     df = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
     counts, cost = costs(df, "text", least)
     spark = df.sparkSession
-    known = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))  # BUCKETS numbers
+    known = spark.sparkContext.broadcast(coded(counts))  # BUCKETS bytes
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keep, w, h in _fresh(batches, "text", least):

@@ -133,12 +133,18 @@ def test_both_sides_find_rows(spark, monkeypatch, boundary):
     df = spark.createDataFrame(rows, "rec_id bigint, instruction string").repartition(3)
     known, cost = neardup.costs(df, "instruction", 20)
     w = words.words(texts)
-    d, k, *_ = neardup.keys(w, np.ones(w.n, bool), known, cost, 0.5)
+    d, k, *_ = neardup.keys(w, np.ones(w.n, bool), neardup.coded(known), cost, 0.5)
     assert bool(((k & np.uint64(1)) == 1).any()) == (boundary > 0)
     want = brute(rows)
     assert len(want) > 1000 and {tuple(x) for x in neardup.near_pairs(df, "rec_id", "instruction").collect()} == want
 
 
+def test_coded_counts():
+    x = np.array([0, 1, 2, 127, 128, 129, 1000, 10**6, 10**10])
+    back = neardup.DECODED[neardup.coded(x)]
+    assert (back[:5] == x[:5]).all() and (back <= x).all() and (back * 1.2 >= x).all() and (np.diff(neardup.DECODED) > 0).all()
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100 + r.randrange(30), 100 + r.randrange(30)) for _ in range(25)] + [(200, i) for i in range(201, 260)] + [(7, 7)]
