@@ -226,7 +226,7 @@ def find(x: Profiles, sym: np.ndarray, likely: np.ndarray, instruction: list[str
     long = [i for k, i in enumerate(long) if out[i] is None and count[k] >= 4 and len(response[i]) >= 12]
     spoken = []
     for texts, least in (([response[i] for i in long], 4), ([inst[i] for i in long], 6)):
-        doc, lang, m, conf = segments(x, sym, texts)
+        doc, lang, m, conf, _ = segments(x, sym, texts)
         of: list[dict[int, int]] = [{} for _ in long]
         for d, k, w, p in zip(doc.tolist(), lang.tolist(), m.tolist(), conf.tolist()):
             if w >= least and p >= 0.9:

@@ -2,16 +2,16 @@
 
 Method: hyperdimensional profiles. Every letter has a random vector of ``DIM`` signs. A trigram of a word (its edges
 count as a letter) is bound from its letters' vectors, permuted by their place: roll(a, 2) * roll(b, 1) * c. Trigrams
-are bundled, i.e. added up, into vectors of languages (from labelled samples) and of texts, and those are compared by
-cosine, after the languages' common part is taken off.
+are bundled, i.e. added up, into vectors of languages (from labelled samples, each trigram weighed by how much likelier it is
+there than elsewhere) and of texts, and those are compared by cosine, after the languages' common part is taken off.
 
 A cosine is linear in a text's trigrams, so the products of every possible trigram with every language are a table of
 fixed size, (ALPHABET ** 3) x languages, made once; only the table goes to the workers. A word has the sum of its
 trigrams; the best sequence of languages over the words of a text, with a cost for each change (less at the end of a
 sentence), gives the segments (Viterbi). Formulas, code, links and numbers hold no language and count as no words.
 
-Null and blank texts, and those without letters, have no language and give no row. Whole texts are read; runs of more
-than ``PIECE`` words are solved piece by piece and joined. Repeated rows give repeated results; extra columns are ignored.
+Null and blank texts, and those without letters, have no language and give no row. Whole texts are read, and the best sequence is that of
+the whole text, however long. Repeated rows give repeated results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,9 +29,12 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.words import column, groups, tables
 
-ALPHABET, DIM, PIECE = 64, 2048, 1024
-#: Cost of a change of language within and at the end of a sentence; a word counts for at most CLIP either way.
-SWITCH, SENTENCE, CLIP = 5.0, 2.5, 2.0
+ALPHABET, DIM, SMOOTH = 64, 16384, 0.5
+#: Cost of a change of language within and at the end of a sentence (an average word leads by one): the highest with which passages of six words
+#: set into English are found, which is far above what English itself reaches. A word counts for at most CLIP either way.
+SWITCH, SENTENCE, CLIP = 1.5, 0.75, 2.0
+#: Words with letters that a passage needs; its other words may be numbers.
+LETTERED = 4
 #: Rows of the labelled samples that are used at most, by language; the only bound on what is fitted.
 SAMPLES = 5000
 FORMULA = re.compile(r"```.*?(?:```|\Z)|`[^`\n]*`|\$\$.*?\$\$|\$[^$\n]*\$|\\\[.*?\\\]|\\\(.*?\\\)|\\[a-zA-Z]+(?:\{[^{}\n]*\})*|<[^<>\n]*>|https?://\S+|\S+@\S+", re.S)
@@ -70,8 +73,9 @@ def _split(text: str) -> str:
     return FORMULA.sub("   ", text) if any(x in text for x in "$\\`<@") or "http" in text else text
 
 
-def trigrams(texts: list[str | None], symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Trigram ids of all letters; the first letter, text and whether a sentence ended before it, of each word."""
+def trigrams(texts: list[str | None], symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Trigram ids of all letters; of each word the first letter, the text, whether a sentence ended before it, and how many words
+    of any kind (numbers, letters alone) begin up to it."""
     s = "\0".join(_split(t.replace("\0", " ")) if t else "" for t in texts)
     if not s.isascii():
         s = unicodedata.normalize("NFKC", s)
@@ -81,6 +85,8 @@ def trigrams(texts: list[str | None], symbol: np.ndarray) -> tuple[np.ndarray, n
     a = _letters()[c]
     edge = np.diff(a.astype(np.int8), prepend=np.int8(0), append=np.int8(0))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    some = tables()[0][c]
+    every = np.cumsum(np.diff(some.astype(np.int8), prepend=np.int8(0)) == 1)
     # A letter alone is a variable, unless it is a word somewhere.
     ok = (end - start > 1) | np.isin(c[start], LONE)
     a[start[~ok]] = False
@@ -94,7 +100,7 @@ def trigrams(texts: list[str | None], symbol: np.ndarray) -> tuple[np.ndarray, n
     after[first + n - 1] = 0
     stop = np.cumsum((c == 46) | (c == 33) | (c == 63) | (c == 10) | (c == 0x2028) | (c == 58) | (c == 59))
     ends = np.diff(stop[start], prepend=0) > 0
-    return (before * ALPHABET + sym) * ALPHABET + after, first, np.cumsum(c == 0)[start], ends
+    return (before * ALPHABET + sym) * ALPHABET + after, first, np.cumsum(c == 0)[start], ends, every[start]
 
 
 def fit(rows: list[tuple[str, str]], seed: int = 7) -> Profiles:
@@ -102,25 +108,25 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Profiles:
     sym = fit_symbols(rows)
     table = symbols(sym)
     langs = sorted({k for k, _ in rows})
-    weight = np.zeros((ALPHABET**3, len(langs)), np.float32)
+    n = np.zeros((ALPHABET**3, len(langs)), np.float32)
     for i, k in enumerate(langs):
         g, *_ = trigrams([t for lang, t in rows if lang == k], table)
-        n = np.bincount(g, minlength=ALPHABET**3).astype(np.float32)
-        weight[:, i] = np.log1p(n * (10_000 / max(1.0, n.sum())))
+        n[:, i] = np.bincount(g, minlength=ALPHABET**3)
+    used = np.flatnonzero(n.any(1))
+    weight = np.log((n[used] + SMOOTH) / (n.sum(0) + SMOOTH * max(1, len(used))))
+    weight -= weight.mean(1, keepdims=True)
     rng = np.random.default_rng(seed)
     base = rng.choice(np.array([-1, 1], np.float32), (ALPHABET, DIM))
     two, one = np.roll(base, 2, 1), np.roll(base, 1, 1)
-    used = np.flatnonzero(weight.any(1))
     bundle = np.zeros((len(langs), DIM), np.float32)
-    bind = lambda g: two[g // ALPHABET**2] * one[g // ALPHABET % ALPHABET] * base[g % ALPHABET]
-    for at in range(0, len(used), 4096):
-        g = used[at : at + 4096]
-        bundle += weight[g].T @ bind(g)
+    for at in range(0, len(used), 1024):
+        g = used[at : at + 1024]
+        bundle += weight[at : at + 1024].T @ (two[g // ALPHABET**2] * one[g // ALPHABET % ALPHABET] * base[g % ALPHABET])
     bundle -= bundle.mean(0)
     bundle /= np.linalg.norm(bundle, axis=1, keepdims=True) + 1e-9
-    out = np.zeros((ALPHABET**3, len(langs)), np.float32)
-    for at in range(0, ALPHABET**3, 8192):
-        out[at : at + 8192] = bind(np.arange(at, at + 8192)) @ bundle.T
+    # The products of all trigrams that begin with one letter with all languages are one product of matrices.
+    last = (base[:, None, :] * bundle[None]).reshape(-1, DIM).T
+    out = np.concatenate([(two[i] * one) @ last for i in range(ALPHABET)]).reshape(ALPHABET**3, len(langs))
     return Profiles(langs, sym, out, _scale(out, rows, langs, table))
 
 
@@ -167,15 +173,12 @@ def symbols(sym: dict[int, int]) -> np.ndarray:
 
 
 def decode(score: np.ndarray, doc: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The language of every word: the best sequence within each text (pieces of PIECE words)."""
+    """The language of every word: the best sequence within each text."""
     n, k = score.shape
     if not n:
         return np.zeros(0, np.int8)
-    place = np.arange(n)
     new = np.ones(n, bool)
     new[1:] = doc[1:] != doc[:-1]
-    first = place[new][np.cumsum(new) - 1]
-    new |= (place - first) % PIECE == 0
     starts = np.flatnonzero(new)
     length = np.diff(np.append(starts, n))
     o = np.argsort(-length, kind="stable")
@@ -205,12 +208,12 @@ def decode(score: np.ndarray, doc: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return path
 
 
-def segments(x: Profiles, sym: np.ndarray, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every segment in order: text, language (its place in ``x.languages``), words, confidence."""
-    g, first, doc, ends = trigrams(texts, sym)
+def segments(x: Profiles, sym: np.ndarray, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every segment in order: text, language (its place in ``x.languages``), words with letters, confidence, and all words."""
+    g, first, doc, ends, every = trigrams(texts, sym)
     if not len(first):
         z = np.zeros(0, np.int64)
-        return z, z, z, z.astype(float)
+        return z, z, z, z.astype(float), z
     raw = x.table[g]
     score = np.add.reduceat(raw, first, axis=0)
     score = np.clip(score - score.mean(1, keepdims=True), -CLIP, CLIP)
@@ -221,7 +224,7 @@ def segments(x: Profiles, sym: np.ndarray, texts: list[str | None]) -> tuple[np.
     total = np.add.reduceat(score, s, axis=0)
     n = np.diff(np.append(s, len(doc)))
     p = np.exp(total - total.max(1, keepdims=True))
-    return doc[s], path[s].astype(np.int64), n, (p / p.sum(1, keepdims=True))[np.arange(len(s)), path[s]]
+    return doc[s], path[s].astype(np.int64), n, (p / p.sum(1, keepdims=True))[np.arange(len(s)), path[s]], every[s + n - 1] - every[s] + 1
 
 
 def profiles(samples: DataFrame, lang: str = "lang", text: str = "text", bayes: bool = False) -> Profiles:
@@ -234,10 +237,10 @@ def profiles(samples: DataFrame, lang: str = "lang", text: str = "text", bayes:
 
 
 def language_segments(df: DataFrame, known: Profiles, *, id_col: str, fields: tuple[str, ...], label: str | None = None) -> DataFrame:
-    """A row for every segment: rec_id, field, segment (from 0), lang, words, confidence (0..1), label (what the record's
-    label names, null if nothing). A text in one language is one segment."""
+    """A row for every segment: rec_id, field, segment (from 0), lang, words, lettered (those that aren't numbers or letters alone),
+    confidence (0..1), label (what the record's label names, null if nothing). A text in one language is one segment."""
     sent = df.sparkSession.sparkContext.broadcast(known)  # ALPHABET ** 3 numbers a language
-    schema = "rec_id long, field string, segment int, lang string, words int, confidence double, label string"
+    schema = "rec_id long, field string, segment int, lang string, words int, lettered int, confidence double, label string"
     src = df.select(F.col(id_col).cast("long").alias("rec_id"), (F.col(label) if label else F.lit(None)).cast("string").alias("label"), *[F.col(f).cast("string").alias(f"f{i}") for i, f in enumerate(fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,13 +252,13 @@ def language_segments(df: DataFrame, known: Profiles, *, id_col: str, fields: tu
             labels = np.array([of[v] for v in column(b, "label")], object)
             for i, f in enumerate(fields):
                 for first, g in groups(column(b, f"f{i}")):
-                    doc, lang, n, conf = segments(x, sym, g)
+                    doc, lang, n, conf, every = segments(x, sym, g)
                     start = np.searchsorted(doc, doc)
                     at = doc + first
                     yield pa.RecordBatch.from_pydict(
                         {
                             "rec_id": pa.array(ids[at], pa.int64(), from_pandas=True), "field": pa.array([f] * len(doc), pa.string()), "segment": pa.array((np.arange(len(doc)) - start).astype(np.int32)),
-                            "lang": pa.array(names[lang], pa.string()), "words": pa.array(n.astype(np.int32)), "confidence": pa.array(conf.astype(np.float64)), "label": pa.array(labels[at], pa.string()),
+                            "lang": pa.array(names[lang], pa.string()), "words": pa.array(every.astype(np.int32)), "lettered": pa.array(n.astype(np.int32)), "confidence": pa.array(conf.astype(np.float64)), "label": pa.array(labels[at], pa.string()),
                         }
                     )
 
@@ -265,4 +268,4 @@ def language_segments(df: DataFrame, known: Profiles, *, id_col: str, fields: tu
 def wrong_labels(df: DataFrame, known: Profiles, *, id_col: str, fields: tuple[str, ...], label: str, least: int = 6) -> DataFrame:
     """rec_id, field, lang: texts with a passage of ``least`` or more words in a language that the label doesn't name."""
     s = language_segments(df, known, id_col=id_col, fields=fields, label=label)
-    return s.where((F.col("words") >= least) & ~F.col("lang").eqNullSafe(F.col("label"))).select("rec_id", "field", "lang").distinct()
+    return s.where((F.col("words") >= least) & (F.col("lettered") >= min(least, LETTERED)) & ~F.col("lang").eqNullSafe(F.col("label"))).select("rec_id", "field", "lang").distinct()

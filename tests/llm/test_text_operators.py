@@ -367,15 +367,50 @@ def test_segments(samples, make):
     x = make(samples)
     sym = languages.symbols(x.symbol)
     mixed = SAY["en"][1] + " " + SAY["de"][0] + " $x = 5$ " + SAY["de"][2] + "\n" + SAY["fr"][1]
-    doc, lang, n, conf = languages.segments(x, sym, [None, "", "$x^2 + y$ 12", SAY["fr"][0], mixed, "The word “Gleichgewicht” is used before the break."])
+    doc, lang, n, conf, every = languages.segments(x, sym, [None, "", "$x^2 + y$ 12", SAY["fr"][0], mixed, "The word “Gleichgewicht” is used before the break."])
     got = [(int(d), x.languages[k]) for d, k in zip(doc, lang)]
     assert got == [(3, "fr"), (4, "en"), (4, "de"), (4, "fr"), (5, "en")] and (conf > 0.9).all()
 
 
 def test_long_text_is_one_segment(samples):
     x = languages.fit(samples)
-    doc, lang, n, _ = languages.segments(x, languages.symbols(x.symbol), [" ".join(SAY["de"] * 100)])
-    assert len(doc) == 1 and x.languages[lang[0]] == "de" and n[0] > languages.PIECE
+    doc, lang, n, *_ = languages.segments(x, languages.symbols(x.symbol), [" ".join(SAY["de"] * 100)])
+    assert len(doc) == 1 and x.languages[lang[0]] == "de" and n[0] > 4000
+
+
+def test_short_passages_wherever_they_are():
+    """Passages of six to ten words of samples, set into English inline and by themselves, on sound samples."""
+    import os
+
+    import pyarrow.parquet as pq
+
+    p = "/root/testdata/sf0.01/lang_samples.parquet"
+    if not os.path.exists(p):
+        pytest.skip("no test data")
+    rows = sorted((x["lang"], x["text"]) for x in pq.read_table(p).to_pylist() if x["lang"] and x["text"])
+    x = languages.fit(rows)
+    sym, r = languages.symbols(x.symbol), random.Random(2)
+    en = [t for k, t in rows if k == "en"]
+    for n, least in ((6, 0.8), (7, 0.9), (8, 0.95), (10, 0.97)):
+        for sep in (" ", ". "):
+            texts, want = [], []
+            for k, t in rows:
+                w = t.split()
+                if k != "en" and len(w) >= n:
+                    at, e = r.randrange(len(w) - n + 1), " ".join(r.sample(en, 9)).split()
+                    texts.append(" ".join(e[:40]) + sep + " ".join(w[at : at + n]).strip(".,;:") + sep + " ".join(e[40:80]))
+                    want.append(k)
+            got = [set() for _ in texts]
+            for d, lang, m, _, every in zip(*languages.segments(x, sym, texts)):
+                if every >= 6 and m >= languages.LETTERED:
+                    got[d].add(x.languages[lang])
+            assert sum(k in g for k, g in zip(want, got)) >= least * len(texts) and sum(bool(g - {k, "en"}) for k, g in zip(want, got)) <= 2
+
+
+def test_numbers_count_in_passages(samples):
+    x = languages.fit(samples)
+    doc, lang, n, _, every = languages.segments(x, languages.symbols(x.symbol), ["Niemand hat 93 Wagen und 17 Kisten erwartet, 8"])
+    assert len(doc) == 1 and n[0] == 6 and every[0] == 8
 
 
 def test_wrong_labels(spark, samples):
