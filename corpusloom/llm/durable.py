@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -20,3 +21,17 @@ def durable(df: DataFrame) -> DataFrame:
             where = tempfile.mkdtemp(prefix="checkpoint-")
         sc.setCheckpointDir(where)
     return df.checkpoint(eager=True)
+
+
+#: Rows that a table may have to be broadcast.
+SMALL = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A table of few narrow rows (one for each file, source or bucket on a boundary), written down and marked for broadcast where the count,
+    taken as it is written, says that it is small; a larger one is left to Spark."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    kept = durable(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return F.broadcast(kept) if seen.get["n"] <= SMALL else kept

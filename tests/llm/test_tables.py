@@ -34,18 +34,25 @@ def test_mixture(spark):
     ix = index(spark, files)
     drawn = mixing.draws(ix, targets, rules).collect()
     check(drawn, files, {"a__x": 90, "b": 4}, {"a__x": 2, "b": 3})
-    total = sum(x or 0 for v in files.values() for x in v)
+    # The largest total at which all sources reach their targets: that of the scarcest. The source without rows is left out.
+    supply = {"a": 300 * 0 + 90 * 2 * 10 + 200 * 7, "b": 4 * 3 * 20, "c": 50}
+    total = min(supply["a"] / 0.5, supply["b"] / 0.3, supply["c"] / 0.15)
     tokens = Counter()
     for r in drawn:
         tokens[r.source] += r.resp_len
+    assert abs(tokens["a"] - total * 0.5) <= 10 and abs(tokens["b"] - total * 0.3) <= 20 and tokens["c"] == 50 and not tokens["e"]
+    # Of the tokens of all rows: sources that lack rows give all they may.
+    more = mixing.draws(ix, targets, rules, total="all").collect()
+    check(more, files, {"a__x": 90, "b": 4}, {"a__x": 2, "b": 3})
+    total = sum(x or 0 for v in files.values() for x in v)
+    tokens = Counter()
+    for r in more:
+        tokens[r.source] += r.resp_len
     assert abs(tokens["a"] - total * 0.5) <= 10  # within one row
-    assert tokens["b"] == 4 * 3 * 20 and tokens["c"] == 50 and not tokens["e"]  # all that they may give
+    assert tokens["b"] == 4 * 3 * 20 and tokens["c"] == 50 and not tokens["e"]
+    assert {(r.task, r.row_id, r["pass"]) for r in drawn} <= {(r.task, r.row_id, r["pass"]) for r in more}
     shares = {r.source: r for r in mixing.shares(mixing.draws(ix, targets, rules), ix, targets).collect()}
     assert set(shares) == {"a", "b", "c", "d"} and shares["d"].tokens == 0 and abs(sum(r.actual_share for r in shares.values()) - 1) < 1e-9
-    # Larger budgets contain smaller ones.
-    less = spark.createDataFrame([("a", 0.2)], "source string, target_share double")
-    small = {(r.task, r.row_id, r["pass"]) for r in mixing.draws(ix, less, rules).collect()}
-    assert small and small <= {(r.task, r.row_id, r["pass"]) for r in drawn}
 
 
 def test_latest_and_odd_rows(spark):
@@ -59,6 +66,19 @@ def test_latest_and_odd_rows(spark):
     assert len(r) == 1 and r[0].tokens == 0 and r[0].actual_share is None
 
 
+def test_thresholds_in_few_buckets(spark, monkeypatch):
+    """All hashes in one bucket of the first histogram, then of the second too: what is drawn stays what the order of hashes says."""
+    files = {"a__x": list(range(1, 120)), "b": [3] * 40}
+    targets = spark.createDataFrame([("a", 0.4), ("b", 0.6)], "source string, target_share double")
+    rules = spark.createDataFrame([(0, "a__x", 70, None, 2)], RULES)
+    ix = index(spark, files)
+    want = sorted(map(tuple, mixing.draws(ix, targets, rules).collect()))
+    assert want
+    for bits in (1, 4):
+        monkeypatch.setattr(mixing, "BITS", bits)
+        assert sorted(map(tuple, mixing.draws(ix, targets, rules).collect())) == want
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 50), st.integers(0, 20)), max_size=60), st.integers(1, 8))
 def test_pack(items, segments):
