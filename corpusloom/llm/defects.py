@@ -2,8 +2,9 @@
 
 Method: language posteriors of instruction and response from character n-gram naive Bayes are compared
 (other_language), and the likelihood of ending where it ends, from n-grams of characters before the ends of sentences
-in the whole corpus, flags a truncated response. Empty, refusing and copying responses are told by what remains of
-them when markup, polite phrases, refusing sentences or the instruction's own words are taken off.
+in the whole corpus, flags a truncated response that has no mark at its end. A refusal is a response whose sentences, other than
+polite ones and the instruction's own, decline the task by a naive Bayes model of words (``declining``). Empty and copying
+responses are told by what remains of them when markup or the instruction's own words are taken off.
 
 The first that holds of empty, refusal, copy, other_language, truncated is the record's one defect.
 
@@ -22,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm import declining
 from corpusloom.llm.bounded import gather
-from corpusloom.llm.languages import FORMULA, Profiles, segments, symbols
-from corpusloom.llm.words import GROUP_CHARS, U, chains, column, groups, mix, words
+from corpusloom.llm.declining import SURE, Declining
+from corpusloom.llm.languages import FORMULA, Profiles, sampled, segments, symbols
+from corpusloom.llm.words import GROUP_CHARS, U, Words, chains, column, groups, mix, words
 
 #: Hash buckets; the n-grams before an end: 8 characters, and (0) the last word, of which LETTERS count; two rows of
 #: counts, of which the lower holds, for ends and for all words.
@@ -42,18 +45,8 @@ PLACEHOLDERS = frozenset(["na", "n a", "none", "null", "nil", "nan", "tbd", "tod
 FOUR = re.compile(r"[^\W_]+\s+[^\W_]+\s+[^\W_]+\s+[^\W_]")
 LABELS = re.compile(r"^(?:a|answer|response|solution|output|antwort|réponse|respuesta|risposta|antwoord|odpowiedź)\s*:", re.I)
 
-# Wordings of declining, by language.
-REFUSES = re.compile(
-    r"\b(?:(?:i|we)\s?(?:'m|\s+am|\s+are)?\s*(?:can'?t|cannot|can not|could not|won'?t|will not|am not able|not able|unable|must decline|have to decline|have to pass|don'?t have the (?:ability|means)|am not (?:allowed|permitted)|refuse|decline|would rather not|prefer not)"
-    r"|i'?m (?:not able|unable|not allowed|not permitted)|no way for me|must decline|against my (?:guidelines|policy|policies|rules|programming)|as an (?:ai|assistant|language model)|beyond my (?:abilities|capabilities)"
-    r"|(?:kann|darf|möchte|werde) ich (?:\w+ ){0,6}(?:nicht|keine?n?)|ich (?:kann|darf|möchte|werde) (?:\w+ ){0,6}(?:nicht|keine?n?)|(?:nicht in der lage|nicht möglich)|als sprachmodell|(?:darf|kann) ich leider|lieber (?:nicht|keine)"
-    r"|je ne (?:peux|puis|suis|veux|vais) pas|ne m'est (?:\w+ )?pas possible|en tant que (?:modèle|assistant)|je préfère ne pas|pas (?:autorisé|en mesure)"
-    r"|no (?:me )?(?:puedo|es posible|estoy en condiciones)|no puedo|como (?:modelo|asistente)|prefiero no|no estoy (?:autorizado|en condiciones)"
-    r"|non (?:posso|mi è possibile|sono in grado|sono autorizzato)|(?:come|essendo un) (?:modello|assistente)|preferisco non"
-    r"|(?:kan|mag|zal|wil) ik (?:\w+ ){0,6}(?:niet|geen)|ik (?:kan|mag|zal|wil) (?:\w+ ){0,6}(?:niet|geen)|niet (?:mogelijk|in staat)|als taalmodel|liever geen|liever niet"
-    r"|nie (?:mogę|jestem w stanie|jest możliwe|wolno mi)|jako (?:model|asystent)|wolę nie|odmawiam)\b",
-    re.I,
-)
+#: Cost of a change of language within a pair, which are mostly in one language each; the least words and confidence of a language.
+CHANGE, SPOKEN, SURELY = 5.0, ((4, 0.9), (3, 0.99)), ((6, 0.9), (4, 0.99))
 POLITE = re.compile(r"\b(?:sorry|apologi[sz]e|my regrets|unfortunately|thank you|i hope you understand|is there anything else|perhaps you could|please (?:consult|ask|try|contact|rephrase)|feel free|let me know|leider|tut mir leid|désolé|malheureusement|lo siento|lamentablemente|mi dispiace|purtroppo|het spijt me|helaas|przykro mi|niestety|proszę|bitte|veuillez|por favor|per favore|alstublieft|consult a)\b", re.I)
 QUOTED = re.compile(r"“[^”]*”|\"[^\"\n]*\"|„[^”“]*[”“]|«[^»]*»")
 SENTENCE = re.compile(r"(?<=[.!?…])[\"”’')\]*_]*\s+|\n+")
@@ -78,19 +71,34 @@ def is_empty(t: str | None) -> bool:
     return not core or core in PLACEHOLDERS
 
 
-def is_refusal(t: str, instruction: str) -> bool:
-    """Are there refusing sentences, and nothing but polite ones and the instruction's own beside them?"""
-    t = t.replace("’", "'")
-    if not REFUSES.search(t):
-        return False
-    found, rest = False, 0
-    for s in SENTENCE.split(t):
-        if REFUSES.search(QUOTED.sub(" ", s)):
-            # A refusal that goes on with a solution isn't one.
-            found = True
-        elif s.strip() and not POLITE.search(s) and s.strip() not in instruction:
-            rest += len(s.split())
-    return found and rest < 8
+def is_refusal(t: str, instruction: str, model: Declining) -> bool:
+    """Are there sentences that decline, and nothing but polite ones and the instruction's own beside them?"""
+    parts = [s for s in SENTENCE.split(t.replace("’", "'")) if s.strip()]
+    no = model.scores([QUOTED.sub(" ", s) for s in parts]) > SURE
+    # A refusal that goes on with a solution isn't one.
+    rest = sum(len(s.split()) for s, x in zip(parts, no) if not x and not POLITE.search(s) and s.strip() not in instruction)
+    return bool(no.any()) and rest < 8
+
+
+STOPS = np.array([ord(x) for x in ".!?…"], np.uint32)
+AFTER = np.array([ord(x) for x in " \t\r\n\"”’')]*_"], np.uint32)
+
+
+def may_decline(w: Words, model: Declining) -> np.ndarray:
+    """The texts that have a sentence which comes near to declining; all words at once."""
+    c = w.codes
+    if not len(w.hashes):
+        return np.zeros(0, np.int64)
+    nxt = np.append(c[1:], 0)
+    stop = (c == 0) | (c == 10) | (np.isin(c, STOPS) & (np.isin(nxt, AFTER) | (nxt == 0)))
+    of = np.cumsum(stop)[w.start]
+    pair, one = chains(w, 2)
+    one &= of[: len(pair)] == of[1 : 1 + len(pair)]
+    total = np.zeros(int(of[-1]) + 1)
+    for f, at in ((w.hashes, of), (pair[one], of[: len(pair)][one])):
+        k = np.minimum(np.searchsorted(model.known, f), len(model.known) - 1)
+        total += np.bincount(at, np.where(model.known[k] == f, model.adds[k], 0.0), len(total))
+    return np.unique(w.doc[total[of] > SURE / 2])
 
 
 def is_cut(t: str, likely: np.ndarray) -> bool:
@@ -191,7 +199,7 @@ def end_counts(df: DataFrame, fields: tuple[str, ...]) -> np.ndarray:
     return gather(df.select(*fields), run, 1 + 2 * len(ROWS) * ENDS)
 
 
-def find(x: Profiles, sym: np.ndarray, likely: np.ndarray, instruction: list[str | None], response: list[str | None]) -> list[str | None]:
+def find(x: Profiles, sym: np.ndarray, likely: np.ndarray, model: Declining, instruction: list[str | None], response: list[str | None]) -> list[str | None]:
     """The defect of each pair, or None."""
     n = len(response)
     out: list[str | None] = [None] * n
@@ -199,11 +207,13 @@ def find(x: Profiles, sym: np.ndarray, likely: np.ndarray, instruction: list[str
     for i, t in enumerate(response):
         if is_empty(t):
             out[i] = "empty"
-        elif is_refusal(t, inst[i]):
-            out[i] = "refusal"
     long = [i for i in range(n) if out[i] is None]
+    a = words([response[i] for i in long])
+    for k in may_decline(a, model).tolist():
+        if is_refusal(response[long[k]], inst[long[k]], model):
+            out[long[k]] = "refusal"
     # Copies: shared three-word sequences; of fewer than three such sequences, the same words.
-    a, b = words([response[i] for i in long]), words([inst[i] for i in long])
+    b = words([inst[i] for i in long])
     ga, oka = chains(a, 3)
     gb, okb = chains(b, 3)
     # The pair's number goes into the hash, so that only sequences of the same pair meet.
@@ -220,16 +230,16 @@ def find(x: Profiles, sym: np.ndarray, likely: np.ndarray, instruction: list[str
         copy[k] = np.array_equal(a.hashes[said], b.hashes[ends_b[k] - count[k] : ends_b[k]])
     for k in np.flatnonzero(copy).tolist():
         # Letters and numbers alone are proper replies.
-        if not ASKS_COPY.search(inst[long[k]]) and re.search(r"[^\W\d_]{2}", response[long[k]]):
+        if out[long[k]] is None and not ASKS_COPY.search(inst[long[k]]) and re.search(r"[^\W\d_]{2}", response[long[k]]):
             out[long[k]] = "copy"
-    # Languages of both.
-    long = [i for k, i in enumerate(long) if out[i] is None and count[k] >= 4 and len(response[i]) >= 12]
+    # Languages of both: of enough words, or of fewer and surer.
+    long = [i for i in long if out[i] is None]
     spoken = []
-    for texts, least in (([response[i] for i in long], 4), ([inst[i] for i in long], 6)):
-        doc, lang, m, conf, _ = segments(x, sym, texts)
+    for texts, enough in (([response[i] for i in long], SPOKEN), ([inst[i] for i in long], SURELY)):
+        doc, lang, m, conf, _ = segments(x, sym, texts, CHANGE)
         of: list[dict[int, int]] = [{} for _ in long]
         for d, k, w, p in zip(doc.tolist(), lang.tolist(), m.tolist(), conf.tolist()):
-            if w >= least and p >= 0.9:
+            if any(w >= least and p >= sure for least, sure in enough):
                 of[d][k] = of[d].get(k, 0) + w
         spoken.append(of)
     for k, i in enumerate(long):
@@ -244,21 +254,27 @@ def find(x: Profiles, sym: np.ndarray, likely: np.ndarray, instruction: list[str
     return out
 
 
-def defects(df: DataFrame, known: Profiles, *, id_col: str, instruction: str, response: str) -> DataFrame:
-    """rec_id, defect: empty, refusal, copy, other_language or truncated; only defective pairs. ``known``: from fit_bayes."""
+def declining_model(samples: DataFrame, lang: str = "lang", text: str = "text") -> Declining:
+    """The model of refusals, with labelled samples as ordinary sentences; of each language at most SAMPLES rows."""
+    return declining.fit([s for _, t in sampled(samples, lang, text) for s in SENTENCE.split(t) if s.strip()])
+
+
+def defects(df: DataFrame, known: Profiles, model: Declining, *, id_col: str, instruction: str, response: str) -> DataFrame:
+    """rec_id, defect: empty, refusal, copy, other_language or truncated; only defective pairs. ``known``: from fit_bayes; ``model``: from
+    declining_model."""
     src = df.select(F.col(id_col).cast("long").alias("rec_id"), F.col(instruction).cast("string").alias("i"), F.col(response).cast("string").alias("r"))
     sc = df.sparkSession.sparkContext
     likely = sc.broadcast(end_counts(src, ("i", "r")))  # 4 * ENDS numbers
-    sent = sc.broadcast(known)
+    sent = sc.broadcast((known, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = sent.value
+        x, no = sent.value
         sym = symbols(x.symbol)
         for b in batches:
             ids, inst, resp = b.column(0).to_pylist(), column(b, "i"), column(b, "r")
             for first, g in groups(resp, GROUP_CHARS // 3):
                 part = slice(first, first + len(g))
-                got = find(x, sym, likely.value, inst[part], resp[part])
+                got = find(x, sym, likely.value, no, inst[part], resp[part])
                 keep = [k for k, v in enumerate(got) if v]
                 yield pa.RecordBatch.from_pydict({"rec_id": pa.array([ids[first + k] for k in keep], pa.int64()), "defect": pa.array([got[k] for k in keep], pa.string())})
 

@@ -172,9 +172,10 @@ def symbols(sym: dict[int, int]) -> np.ndarray:
     return x
 
 
-def decode(score: np.ndarray, doc: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def decode(score: np.ndarray, doc: np.ndarray, ends: np.ndarray, switch: float | None = None) -> np.ndarray:
     """The language of every word: the best sequence within each text."""
     n, k = score.shape
+    inside, between = (SWITCH, SENTENCE) if switch is None else (switch, switch / 2)
     if not n:
         return np.zeros(0, np.int8)
     new = np.ones(n, bool)
@@ -193,7 +194,7 @@ def decode(score: np.ndarray, doc: np.ndarray, ends: np.ndarray) -> np.ndarray:
         at = starts[:m] + t
         v = v[:m]
         best = v.argmax(1)
-        move = v[np.arange(m), best] - np.where(ends[at], SENTENCE, SWITCH)
+        move = v[np.arange(m), best] - np.where(ends[at], between, inside)
         stay = v >= move[:, None]
         back[at] = np.where(stay, np.arange(k, dtype=np.int8), best[:, None].astype(np.int8))
         v = np.where(stay, v, move[:, None]) + score[at]
@@ -208,8 +209,8 @@ def decode(score: np.ndarray, doc: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return path
 
 
-def segments(x: Profiles, sym: np.ndarray, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every segment in order: text, language (its place in ``x.languages``), words with letters, confidence, and all words."""
+def segments(x: Profiles, sym: np.ndarray, texts: list[str | None], switch: float | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every segment in order (a change costs ``switch``; null: SWITCH): text, language (its place in ``x.languages``), words with letters, confidence, and all words."""
     g, first, doc, ends, every = trigrams(texts, sym)
     if not len(first):
         z = np.zeros(0, np.int64)
@@ -217,7 +218,7 @@ def segments(x: Profiles, sym: np.ndarray, texts: list[str | None]) -> tuple[np.
     raw = x.table[g]
     score = np.add.reduceat(raw, first, axis=0)
     score = np.clip(score - score.mean(1, keepdims=True), -CLIP, CLIP)
-    path = decode(score, doc, ends)
+    path = decode(score, doc, ends, switch)
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (path[1:] != path[:-1])
     s = np.flatnonzero(new)
@@ -227,13 +228,18 @@ def segments(x: Profiles, sym: np.ndarray, texts: list[str | None]) -> tuple[np.
     return doc[s], path[s].astype(np.int64), n, (p / p.sum(1, keepdims=True))[np.arange(len(s)), path[s]], every[s + n - 1] - every[s] + 1
 
 
-def profiles(samples: DataFrame, lang: str = "lang", text: str = "text", bayes: bool = False) -> Profiles:
-    """Profiles (or naive Bayes tables) from labelled samples; of each language at most SAMPLES rows, the first by hash."""
+def sampled(samples: DataFrame, lang: str = "lang", text: str = "text") -> list[tuple[str, str]]:
+    """(language, text) of labelled samples; of each language at most SAMPLES rows, the first by hash."""
     from pyspark.sql import Window
 
     of = Window.partitionBy("k").orderBy(F.xxhash64("t"), "t")
     rows = samples.select(F.col(lang).alias("k"), F.col(text).alias("t")).where("k is not null and t is not null").withColumn("n", F.row_number().over(of)).where(F.col("n") <= SAMPLES)
-    return (fit_bayes if bayes else fit)(sorted((r.k, r.t) for r in rows.select("k", "t").collect()))
+    return sorted((r.k, r.t) for r in rows.select("k", "t").collect())
+
+
+def profiles(samples: DataFrame, lang: str = "lang", text: str = "text", bayes: bool = False) -> Profiles:
+    """Profiles (or naive Bayes tables) from labelled samples."""
+    return (fit_bayes if bayes else fit)(sampled(samples, lang, text))
 
 
 def language_segments(df: DataFrame, known: Profiles, *, id_col: str, fields: tuple[str, ...], label: str | None = None) -> DataFrame:

@@ -66,8 +66,9 @@ def p4_shares(s: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(s: SparkSession, d: str) -> DataFrame:
-    known = languages.profiles(_read(s, d, "lang_samples"), bayes=True)
-    return defects.defects(_read(s, d, "json_rows"), known, id_col="rec_id", instruction="instruction", response="response").dropDuplicates(["rec_id"])
+    samples = _read(s, d, "lang_samples")
+    known, model = languages.profiles(samples, bayes=True), defects.declining_model(samples)
+    return defects.defects(_read(s, d, "json_rows"), known, model, id_col="rec_id", instruction="instruction", response="response").dropDuplicates(["rec_id"])
 
 
 def p6_ids(s: SparkSession, d: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusloom.llm import bounded, defects, encode, languages, leaks, neardup, quality, queries, words
+from corpusloom.llm import bounded, declining, defects, encode, languages, leaks, neardup, quality, queries, words
 
 VOCAB = [a + b + c for a in "bdfglmnprst" for b in "aeiou" for c in ("n", "r", "st", "x", "m")]
 
@@ -438,9 +438,10 @@ def test_defects(spark, samples):
     want = [(ask, r, "empty") for r in EMPTY] + [(ask, r, None) for r in SOUND] + [(ask, r, "truncated") for r in CUT] + [(ask, r, "refusal") for r in REFUSAL]
     want += [(ask, ask, "copy"), (ask, "“" + ask.lower() + "”", "copy"), (copy, SAY["en"][1], None), (ask, SAY["de"][0], "other_language"), ("Translate into German: " + ask, SAY["de"][0], None), (SAY["de"][1], SAY["de"][0], None), (None, "Cold.", None), (None, None, "empty"), ("", SAY["de"][0], None)]
     df = spark.createDataFrame([(i, a, b, "x", 0) for i, (a, b, _) in enumerate(want)], "rec_id bigint, instruction string, response string, i string, r int").repartition(2)
-    got = {r.rec_id: r.defect for r in defects.defects(df, known, id_col="rec_id", instruction="instruction", response="response").collect()}
+    model = defects.declining_model(spark.createDataFrame(samples, "lang string, text string"))
+    got = {r.rec_id: r.defect for r in defects.defects(df, known, model, id_col="rec_id", instruction="instruction", response="response").collect()}
     assert {i: (b, got.get(i)) for i, (a, b, d) in enumerate(want) if got.get(i) != d} == {}
-    assert defects.defects(df.limit(0), known, id_col="rec_id", instruction="instruction", response="response").count() == 0
+    assert defects.defects(df.limit(0), known, model, id_col="rec_id", instruction="instruction", response="response").count() == 0
 
 
 def test_long_responses_are_judged_whole(monkeypatch):
@@ -459,11 +460,28 @@ def test_long_responses_are_judged_whole(monkeypatch):
     assert defects.is_cut("It is cold. " + plain, likely) and not defects.is_cut(plain, likely)
 
 
+def test_declining_by_a_model(samples):
+    model = declining.fit([t for _, t in samples])
+    ask = "Translate into English: „Ich kann am Freitag nicht zu deinem Fest kommen.“"
+    for t in ("That one I will leave to somebody else.", "I'd rather someone else dealt with this question.", "Sorry. This I cannot answer for you. Please ask a teacher.", "Deze opdracht kan ik niet oplossen."):
+        assert defects.is_refusal(t, ask, model) and len(defects.may_decline(words.words([t]), model)) == 1, t
+    for t in ("I cannot come to your party on Friday.", "The bridge could not be opened.", "The word is “I can't help you with that request”.", "I can't answer that exactly, but the steps below lead to the number of boxes: add all sides, then take a third."):
+        assert not defects.is_refusal(t, ask, model), t
+
+
+def test_likelihood_decides_on_ends_without_marks(monkeypatch):
+    likely = np.zeros(1 + 2 * len(defects.ROWS) * defects.ENDS, np.int64)
+    t = "The pump is old. The water in the tank is cold"
+    for share, cut in ((0.0, True), (1.0, False)):
+        monkeypatch.setattr(defects, "likelihood", lambda *a, v=share: v)
+        assert defects.is_cut(t, likely) == cut
+
+
 def test_short_copies(samples):
     x = languages.fit_bayes(samples)
     likely = np.zeros(1 + 2 * len(defects.ROWS) * defects.ENDS, np.int64)
     pairs = [("Name one cold canal.", "name one cold canal", "copy"), ("Solve it.", "Solve it.", "copy"), ("Repeat this: red.", "Repeat this: red.", None), ("Is it 7?", "Is it 8?", None), ("7 + x", "7 + x", None), ("Is it so?", "So it is.", None)]
-    got = defects.find(x, languages.symbols(x.symbol), likely, [a for a, _, _ in pairs], [b for _, b, _ in pairs])
+    got = defects.find(x, languages.symbols(x.symbol), likely, declining.fit([]), [a for a, _, _ in pairs], [b for _, b, _ in pairs])
     assert [g if g == "copy" else None for g in got] == [d for _, _, d in pairs]
 
 
