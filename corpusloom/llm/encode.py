@@ -135,15 +135,29 @@ def encode(df: DataFrame, *, id_col: str, text: str, path: str | None = None) ->
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def token_counts(df: DataFrame, *, id_col: str, text: str, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens of every row's text (0 for null and empty ones)."""
+def decode(ids: DataFrame, *, path: str | None = None) -> DataFrame:
+    """doc_id, text: what the ids stand for. The inverse of ``encode``, whose null texts come back empty."""
+    known = ids.sparkSession.sparkContext.broadcast(vocabulary(path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = {i: b for b, i in _encoder(*known.value).rank.items()}
+        for b in batches:
+            body = [b"".join(map(token.__getitem__, x or [])).decode("utf-8", "replace") for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "text": pa.array(body, pa.string())})
+
+    return ids.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")
+
+
+def token_counts(df: DataFrame, *, id_col: str, text: str, also: str | None = None, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens of every row's text (0 for null and empty ones); with ``also`` the tokens of a second column count too, and
+    alone as ``n_also``."""
     known = df.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = _encoder(*known.value)
         for b in batches:
-            ids = b.column(0)
-            for first, g in groups(column(b, "text"), 400_000):
-                yield pa.RecordBatch.from_pydict({"doc_id": ids.slice(first, len(g)), "n_tokens": pa.array([len(e.ids(t)) for t in g], pa.int64())})
+            n = [np.fromiter((len(e.ids(t)) for t in column(b, name)), np.int64, b.num_rows) for name in b.schema.names[1:]]
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "n_tokens": pa.array(sum(n))} | ({"n_also": pa.array(n[1])} if also else {}))
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long")
+    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *([F.col(also).cast("string").alias("also")] if also else []))
+    return src.mapInArrow(run, "doc_id long, n_tokens long" + (", n_also long" if also else ""))

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SHARD = 400
@@ -57,7 +57,7 @@ def pack(demand: np.ndarray, capacity: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def containers(sizes: DataFrame, *, id_col: str = "doc_id", tokens: str = "n_tokens", loss: str | None = None, capacity: int = 4097, segments: int = 256, loss_capacity: int | None = None) -> DataFrame:
-    """doc_id, part, n_tokens, container, segment (from 0 in the container), start (its first token there).
+    """doc_id, part, n_tokens, loss (loss-bearing tokens), container, segment (from 0 in the container), start (its first token there).
 
     ``loss``: column of loss-bearing tokens; without one every token but a text's first bears loss.
     """
@@ -72,7 +72,7 @@ def containers(sizes: DataFrame, *, id_col: str = "doc_id", tokens: str = "n_tok
     parts = parts.select("doc_id", "part", F.least(F.lit(capacity), F.col("n") - F.col("part") * capacity).alias("n_tokens"), "n", "loss")
     # A part bears its share of the text's loss; no part more than a container may.
     parts = parts.withColumn("loss", F.least(F.lit(limit), F.ceil(F.coalesce("loss", F.lit(0)) * F.col("n_tokens") / F.col("n"))).cast("long"))
-    full = parts.where(F.col("n_tokens") == capacity).select("doc_id", "part", "n_tokens", F.concat(F.lit("t"), "doc_id", F.lit("-"), "part", F.lit("-"), F.monotonically_increasing_id()).alias("container"), F.lit(0).alias("segment"), F.lit(0).cast("long").alias("start"))
+    full = parts.where(F.col("n_tokens") == capacity).select("doc_id", "part", "n_tokens", "loss", F.concat(F.lit("t"), "doc_id", F.lit("-"), "part", F.lit("-"), F.monotonically_increasing_id()).alias("container"), F.lit(0).alias("segment"), F.lit(0).cast("long").alias("start"))
     rest = parts.where(F.col("n_tokens") < capacity).withColumn("shard", F.pmod(F.xxhash64("doc_id", "part", F.lit(11)), F.lit(shards)))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -84,15 +84,31 @@ def containers(sizes: DataFrame, *, id_col: str = "doc_id", tokens: str = "n_tok
         pdf["segment"] = by.cumcount().astype("int32")
         pdf["start"] = by.n_tokens.cumsum() - pdf.n_tokens
         pdf["container"] = "s" + pdf.shard.astype(str) + "-" + pdf.box.astype(str)
-        return pdf[["doc_id", "part", "n_tokens", "container", "segment", "start"]]
+        return pdf[["doc_id", "part", "n_tokens", "loss", "container", "segment", "start"]]
 
-    schema = "doc_id long, part int, n_tokens long, container string, segment int, start long"
+    schema = "doc_id long, part int, n_tokens long, loss long, container string, segment int, start long"
     packed = rest.select("doc_id", "part", "n_tokens", "loss", "shard").repartition(max(1, min(shards, 100_000)), "shard").groupBy("shard").applyInPandas(fill, schema)
-    nothing = src.where("n <= 0").select("doc_id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("string").alias("container"), F.lit(0).alias("segment"), F.lit(0).cast("long").alias("start"))
+    nothing = src.where("n <= 0").select("doc_id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("loss"), F.lit(None).cast("string").alias("container"), F.lit(0).alias("segment"), F.lit(0).cast("long").alias("start"))
     return packed.unionByName(full).unionByName(nothing)
 
 
-def fill_report(placed: DataFrame, capacity: int = 4097) -> DataFrame:
-    """One row: texts, parts, containers, tokens, unused tokens, share of the space that is used (null without containers)."""
-    by = placed.where("container is not null").groupBy("container").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("k"))
-    return by.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("parts"), F.count("*").alias("containers"), F.coalesce(F.sum("t"), F.lit(0)).alias("tokens"), F.coalesce(F.sum(F.lit(capacity) - F.col("t")), F.lit(0)).alias("unused"), (F.sum("t") / (F.count("*") * capacity)).alias("used_share"))
+def fill_report(placed: DataFrame, capacity: int = 4097, segments: int = 256, loss_capacity: int | None = None) -> DataFrame:
+    """One row: parts, containers, tokens, unused tokens, the shares of all containers' tokens, segments and loss-bearing tokens that are used (null without
+    containers), and how many containers each of the three limits has filled (98 % or more)."""
+    loss = loss_capacity or capacity
+    by = placed.where("container is not null").groupBy("container").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("k"), F.sum("loss").alias("l"))
+    n, full = F.count("*"), lambda x, most: F.coalesce(F.sum((F.col(x) >= 0.98 * most).cast("long")), F.lit(0))
+    return by.agg(
+        F.coalesce(F.sum("k"), F.lit(0)).alias("parts"), n.alias("containers"), F.coalesce(F.sum("t"), F.lit(0)).alias("tokens"), F.coalesce(F.sum(F.lit(capacity) - F.col("t")), F.lit(0)).alias("unused"),
+        (F.sum("t") / (n * capacity)).alias("used_share"), (F.sum("k") / (n * segments)).alias("segment_share"), (F.sum("l") / (n * loss)).alias("loss_share"), full("t", capacity).alias("full_tokens"), full("k", segments).alias("full_segments"), full("l", loss).alias("full_loss"),
+    )
+
+
+def checks(placed: DataFrame, capacity: int = 4097) -> DataFrame:
+    """One row: texts, and how many containers hold more than they may, texts are in parts though they fit, and parts don't begin where the one before ends."""
+    texts = placed.groupBy("doc_id").agg(F.count("*").alias("parts"), F.sum("n_tokens").alias("t"))
+    a = texts.agg(F.count("*").alias("texts"), F.coalesce(F.sum(((F.col("parts") > 1) & (F.col("t") <= capacity)).cast("long")), F.lit(0)).alias("needless_parts"))
+    b = placed.where("container is not null").withColumn("at", F.coalesce(F.lag(F.col("start") + F.col("n_tokens")).over(Window.partitionBy("container").orderBy("segment")), F.lit(0)))
+    c = b.groupBy("container").agg(F.sum("n_tokens").alias("t"), F.sum((F.col("start") != F.col("at")).cast("long")).alias("w"))
+    d = c.agg(F.coalesce(F.sum((F.col("t") > capacity).cast("long")), F.lit(0)).alias("overfull"), F.coalesce(F.sum("w"), F.lit(0)).alias("wrong_starts"))
+    return a.crossJoin(F.broadcast(d)).select("texts", "overfull", "needless_parts", "wrong_starts")  # one row each

@@ -1,21 +1,27 @@
 """Statistics of each text, and from them whether it is natural prose, a list, a table or junk.
 
-Method: length, symbol, punctuation, bullet and common-word statistics of all lines of an Arrow batch are computed at
-once (NumPy over the characters), then fixed thresholds apply, and every rule that fails is recorded as a reason. The
-text-level thresholds are the published ones of large web corpora: mean word length 3 to 10, symbols to words at
-most 0.1, 80 % of words with a letter, two common words, 90 % bullet lines, 12 % of lines ending in punctuation.
+Method: length, symbol, punctuation, bullet and common-word statistics of all texts of an Arrow batch are computed at once
+(NumPy over the characters), then fixed thresholds apply, and every rule that fails is recorded as a reason.
 
-The kind follows from the lines, weighed by their characters: a line is a row (cells), an entry (few words), a
-sentence or unreadable; a text of which half the characters or more stand in sentences is prose.
+* The rules on a whole text (``PUBLISHED``) are the published ones of large web corpora: mean word length 3 to 10, at most 0.1 symbols a word,
+  80 % of words with a letter, two common words, at most 90 % bullet lines, more than 12 % of lines ending in punctuation.
+  A text that fails none of them is prose.
+* The others are judged by their lines, without formulas and code, weighed by their characters: a line is a row (cells), an entry (few words), a
+  sentence or noise. The rules are that sentences hold ``PROSE`` of the characters, that no ``MOST`` of six or more lines are entries or
+  rows, that words aren't repeated over and over, and that sentences hold common words. A text that fails one is what most of its
+  characters stand in: a list, a table or junk.
+
+Words, symbols and lines are those of the whole text as it is, after NFKC and without format characters.
 
 Null and blank texts (blanks and format characters only) get no row. Repeated rows give repeated results; extra
-columns are ignored; whole texts are read; formulas are taken off before lines are judged, not before they are counted.
+columns are ignored; whole texts are read.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.languages import FORMULA
-from corpusloom.llm.words import column, groups, words
+from corpusloom.llm.words import column, groups, tables, words
 
 # Frequent words of seven languages.
 COMMON = (
@@ -44,7 +50,74 @@ CLOSE = np.array([ord(x) for x in ")]}*_`"], np.uint32)
 ENTRY_WORDS, LEAST_LINES, PROSE, READABLE = 5, 3, 0.5, 0.03
 #: A list or table below a long sentence: so many entries or rows, of the lines, and of the characters.
 MANY, MOST, NEARLY = 6, 0.75, 0.35
-SCHEMA = "doc_id long, words int, mean_word_length double, symbol_ratio double, punctuated_lines double, bullet_lines double, common_words double, kind string, reasons array<string>"
+MEASURES = "doc_id long, words int, mean_word_length double, symbol_ratio double, punctuated_lines double, bullet_lines double, common_words double"
+SCHEMA = MEASURES + ", sentences double, entries double, rows double, noise double, kind string, reasons array<string>"
+BULLETS = "-+*•‣◦–—·▪(["
+
+
+@lru_cache(1)
+def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every code point: is it a letter, a digit, a blank."""
+    every = list(map(chr, range(0x110000)))
+    return tuple(np.fromiter((getattr(x, f)() for x in every), bool, len(every)) for f in ("isalpha", "isdigit", "isspace"))
+
+
+class Lines:
+    """Texts as lines: what both the statistics and the kinds are made of."""
+
+    def __init__(self, texts: list[str | None]) -> None:
+        self.w = w = words(texts)
+        self.c = c = w.codes
+        self.n = len(texts)
+        self.brk = np.isin(c, BREAKS)
+        self.line = line = np.cumsum(self.brk)  # a break belongs to the line that it opens
+        self.k = k = int(line[-1]) + 1 if len(c) else 1
+        self.doc_of = np.zeros(k, np.int64)
+        self.doc_of[line[np.flatnonzero(c == 0)]] = 1
+        self.doc_of = np.cumsum(self.doc_of)
+        letter, digit, blank = _classes()
+        self.alpha, self.digit, self.space = letter[c], digit[c], blank[c] | (c == 0)
+        self.symbol = ~(tables()[0][c] | self.space)
+        self.solid = self.per(~self.space)
+        self.full = self.solid > 0
+        # The last and first characters that aren't blank (or closing).
+        edge = np.flatnonzero(~self.space & ~np.isin(c, CLOSE))
+        last = np.zeros(k, np.uint32)
+        last[line[edge]] = c[edge]
+        self.ends = np.isin(last, STOPS) & self.full
+        at = np.flatnonzero(~self.space)[::-1]
+        self.first, second = np.zeros(k, np.uint32), np.zeros(k, np.uint32)
+        self.first[line[at]] = c[at]
+        second[line[at]] = np.append(c[1:], 0)[at]
+        marks = np.array([ord(x) for x in BULLETS], np.uint32)
+        self.bullet = self.full & (np.isin(self.first, marks) | ((self.first >= 48) & (self.first <= 57) & np.isin(second, np.array([46, 41, *range(48, 58)], np.uint32))))
+        self.real = (w.length >= 2) & self.alpha[w.start] if len(w.start) else np.zeros(0, bool)
+
+    def per(self, m: np.ndarray) -> np.ndarray:
+        return np.bincount(self.line, m, self.k)
+
+    def count(self, m: np.ndarray) -> np.ndarray:
+        return np.bincount(self.doc_of, m, self.n)
+
+
+def statistics(x: Lines, common: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """Which texts aren't blank; the statistics of each; and which published rules it fails."""
+    w, n = x.w, x.n
+    total = w.counts()
+    some, lines = np.maximum(total, 1), np.maximum(x.count(x.full), 1)
+    real = np.bincount(w.doc, x.real, n)
+    usual = np.bincount(w.doc, x.real & np.isin(w.hashes, common), n)
+    lettered = np.zeros(n)
+    if len(w.start):
+        seen = np.concatenate([[0], np.cumsum(x.alpha)])
+        lettered = np.bincount(w.doc, seen[w.start + w.length] > seen[w.start], n)
+    m = {"words": total, "mean_word_length": np.bincount(w.doc, w.length, n) / some, "symbol_ratio": x.count(x.per(x.symbol)) / some, "punctuated_lines": x.count(x.ends) / lines, "bullet_lines": x.count(x.bullet) / lines, "common_words": usual / np.maximum(real, 1)}
+    mean = m["mean_word_length"]
+    fails = {"mean_word_length": (mean < 3) | (mean > 10), "symbol_ratio": m["symbol_ratio"] > 0.1, "few_letters": lettered < 0.8 * total, "few_common_words": usual < 2, "bullet_lines": m["bullet_lines"] > 0.9, "unpunctuated_lines": m["punctuated_lines"] <= 0.12}
+    return x.count(x.full) > 0, m, fails
+
+
+PUBLISHED = ("mean_word_length", "symbol_ratio", "few_letters", "few_common_words", "bullet_lines", "unpunctuated_lines")
 
 
 def _hashes(ws: list[str]) -> np.ndarray:
@@ -52,28 +125,12 @@ def _hashes(ws: list[str]) -> np.ndarray:
 
 
 def measure(texts: list[str | None], common: np.ndarray, furniture: np.ndarray) -> list[tuple]:
-    """Of every text with more than blanks: its place, the statistics, kind and reasons."""
-    w = words([BOX.sub("- ", FORMULA.sub(" ", t) if any(x in t for x in "$\\`<") else t) if t else t for t in texts])
-    c = w.codes
-    if not len(c):
-        return []
-    n = len(texts)
-    brk = np.isin(c, BREAKS)
-    line = np.cumsum(brk)  # a break belongs to the line that it opens
-    k = int(line[-1]) + 1
-    doc_of = np.zeros(k, np.int64)
-    at = np.flatnonzero(c == 0)
-    doc_of[line[at]] = 1
-    doc_of = np.cumsum(doc_of)
-    small = c < 0x2100
-    cc = np.where(small, c, 0)
-    char = np.array([chr(i) for i in range(0x2100)])
-    alpha = np.where(small, np.char.isalpha(char)[cc], True)
-    digit = np.where(small, np.char.isdigit(char)[cc], False)
-    space = np.where(small, np.char.isspace(char)[cc] | (cc == 0), c == 0x3000)
-    symbol = ~(alpha | digit | space)
-    per = lambda m: np.bincount(line, m, k)
-    solid, letters, digits, symbols = per(~space), per(alpha), per(digit), per(symbol)
+    """Of every text with more than blanks: its place, the statistics, shares of kinds of lines, kind and reasons."""
+    shown, m, fails = statistics(Lines(texts), common)
+    x = Lines([BOX.sub("- ", FORMULA.sub(" ", t) if any(q in t for q in "$\\`<") else t) if t else t for t in texts])
+    w, c, n, k, line, doc_of, brk = x.w, x.c, x.n, x.k, x.line, x.doc_of, x.brk
+    alpha, digit, space, symbol, per, solid = x.alpha, x.digit, x.space, x.symbol, x.per, x.solid
+    letters, digits, symbols = per(alpha), per(digit), per(symbol)
     nxt, prv = np.append(c[1:], 0), np.append(0, c[:-1])
     nsp, psp = np.append(space[1:], True), np.append(True, space[:-1])
     pipes, tabs = per(c == 124), per((c == 9) & ~psp)
@@ -85,7 +142,7 @@ def measure(texts: list[str | None], common: np.ndarray, furniture: np.ndarray)
     damaged = per(np.isin(c, np.array([0xE2, 0xE3, 0x20AC, 0xFFFD], np.uint32)))
     # Words by line.
     wl = line[w.start] if len(w.start) else np.zeros(0, np.int64)
-    real = (w.length >= 2) & alpha[w.start] if len(w.start) else np.zeros(0, bool)
+    real = x.real
     usual, fittings = np.isin(w.hashes, common), np.isin(w.hashes, furniture)
     real_n = np.bincount(wl, real, k)
     common_n = np.bincount(wl, usual & real, k)
@@ -93,18 +150,7 @@ def measure(texts: list[str | None], common: np.ndarray, furniture: np.ndarray)
     all_n = np.bincount(wl, minlength=k)
     longest = np.zeros(k)
     np.maximum.at(longest, wl, w.length)
-    # The last and first characters that aren't blank or closing.
-    edge = np.flatnonzero(~space & ~np.isin(c, CLOSE))
-    last = np.zeros(k, np.uint32)
-    last[line[edge]] = c[edge]
-    first_at = np.flatnonzero(~space)[::-1]
-    first = np.zeros(k, np.uint32)
-    first[line[first_at]] = c[first_at]
-    second = np.zeros(k, np.uint32)
-    second[line[first_at]] = nxt[first_at]
-    full = solid > 0
-    ends = np.isin(last, STOPS)
-    bullet = full & (np.isin(first, np.array([ord(x) for x in "-+*•‣◦–—·▪(["], np.uint32)) | ((first >= 48) & (first <= 57) & np.isin(second, np.array([46, 41] + list(range(48, 58)), np.uint32))))
+    full, ends, bullet, first = x.full, x.ends, x.bullet, x.first
     share = common_n / np.maximum(real_n, 1)
     sepa = np.maximum.reduce([pipes - 1, tabs, gaps, commas, cells, np.where((first == 43) & (symbols > 0.8 * solid), 3, 0)])
     broken = (within > 0.06 * np.maximum(letters, 1)) & (within >= 2)
@@ -119,7 +165,7 @@ def measure(texts: list[str | None], common: np.ndarray, furniture: np.ndarray)
     # One overlong word counts like a short one.
     weight = np.where(longest > 45, np.maximum(solid - longest, 10), solid)
     weigh = lambda m: np.bincount(doc_of, weight * m, n)
-    count = lambda m: np.bincount(doc_of, m, n)
+    count = x.count
     total, S, E, T, J = (weigh(m) for m in (full, sentence, entry, row, bad))
     lines, rows, entries = count(full), count(row), count(entry)
     words_n = w.counts()
@@ -131,57 +177,66 @@ def measure(texts: list[str | None], common: np.ndarray, furniture: np.ndarray)
         new = np.ones(len(o), bool)
         new[1:] = (d[1:] != d[:-1]) | (h[1:] != h[:-1])
         distinct = np.bincount(d[new], minlength=n)
-    mean_len = np.bincount(w.doc, w.length, n) / np.maximum(words_n, 1)
-    sym = count(symbols)
     said = count(np.where(sentence, real_n, 0.0)), count(np.where(sentence, common_n, 0.0))
     readable = said[1] >= READABLE * np.maximum(said[0], 1)
     out = []
-    for i in range(n):
-        t = texts[i]
-        if not t or not t.strip() or not any(not ch.isspace() and ch not in "​‌‍⁠﻿­" for ch in t[:4000]) and not t.strip("​‌‍⁠﻿­ \t\r\n\xa0　"):
-            continue
-        nw = max(1, int(words_n[i]))
+    for i in np.flatnonzero(shown).tolist():
         s, e, r, j = S[i], E[i], T[i], J[i]
-        com = common_d[i] / max(1.0, real_d[i])
-        reasons = []
+        reasons = [name for name in PUBLISHED if fails[name][i]]
+        judged = bool(reasons)
         if total[i] == 0:
             s = 1.0  # nothing but formulas
-        repeated = nw >= 20 and distinct[i] < 0.08 * nw
+        repeated = words_n[i] >= 20 and distinct[i] < 0.08 * words_n[i]
         if repeated:
             reasons.append("repeated_words")
         if s and not readable[i] and said[0][i] >= 6:
-            reasons.append("no_common_words")
+            reasons.append("unreadable_sentences")
             j, s = j + s, 0.0
         if rows[i] < LEAST_LINES and r:
             j, r = j + r, 0.0
-        many = next((k for k, m, x in (("list", entries[i], e), ("table", rows[i], r)) if m >= MANY and m >= MOST * lines[i] and x >= NEARLY * total[i]), None)
+        whole = max(total[i], 1e-9)
+        many = [(kind, name) for kind, name, k, y in (("list", "many_entries", entries[i], e), ("table", "many_rows", rows[i], r)) if k >= MANY and k >= MOST * lines[i] and y >= NEARLY * total[i]]
+        if s < PROSE * whole:
+            reasons.append("few_sentences")
+        reasons += [name for _, name in many]
         if repeated:
             kind = "junk"
-        elif s >= PROSE * max(total[i], 1e-9) and not many:
+        elif not judged or s >= PROSE * whole and not many:
             kind = "prose"
         else:
-            kind = many or max((("list", e if entries[i] >= LEAST_LINES else 0.0), ("table", r), ("junk", j), ("prose", s)), key=lambda x: x[1])[0]
+            kind = many[0][0] if many else max((("list", e if entries[i] >= LEAST_LINES else 0.0), ("table", r), ("junk", j), ("prose", s)), key=lambda z: z[1])[0]
             if entries[i] < LEAST_LINES and e > max(s, r, j):
                 kind = "prose"
-        out.append([i, int(words_n[i]), float(mean_len[i]), float(sym[i] / nw), 0.0, 0.0, float(com), kind, reasons])
-    ends_d, bul_d, alpha_d = count(ends & full), count(bullet), np.bincount(w.doc, alpha[w.start] if len(w.start) else [], n)
-    for x in out:
-        i = x[0]
-        ln = max(1.0, lines[i])
-        x[4], x[5] = float(ends_d[i] / ln), float(bul_d[i] / ln)
-        rules = {"mean_word_length": not 3 <= x[2] <= 10, "symbol_ratio": x[3] > 0.1, "few_letters": alpha_d[i] < 0.8 * x[1], "few_common_words": common_d[i] < 2, "bullet_lines": x[5] > 0.9, "unpunctuated_lines": x[4] <= 0.12, "rows_of_cells": x[7] == "table", "entries": x[7] == "list", "unreadable_lines": x[7] == "junk" and J[i] > 0}
-        x[8] = x[8] + [k for k, v in rules.items() if v]
-    return [tuple(x) for x in out]
+        out.append((i, int(m["words"][i]), *(float(m[z][i]) for z in ("mean_word_length", "symbol_ratio", "punctuated_lines", "bullet_lines", "common_words")), *(float(min(1.0, z / whole)) for z in (s, e, r, j)), kind, reasons))
+    return out
+
+
+def measures(df: DataFrame, *, id_col: str, text: str) -> DataFrame:
+    """doc_id, words, mean_word_length, symbol_ratio (symbols a word), punctuated_lines and bullet_lines (shares of lines), common_words (share of words of
+    two letters and more), fails (the published rules that fail, by comma), of every text not blank."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = _hashes(COMMON)
+        for b in batches:
+            ids = b.column(0).to_numpy(zero_copy_only=False)
+            for first, g in groups(column(b, "text")):
+                shown, m, fails = statistics(Lines(g), common)
+                at = np.flatnonzero(shown)
+                said = [",".join(name for name in PUBLISHED if fails[name][i]) for i in at.tolist()]
+                cols = [pa.array(ids[first + at], pa.int64(), from_pandas=True), pa.array(m["words"][at].astype(np.int32)), *(pa.array(m[z][at].astype(np.float64)) for z in list(m)[1:]), pa.array(said, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", *m, "fails"])
+
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, MEASURES + ", fails string")
 
 
 def quality(df: DataFrame, *, id_col: str, text: str) -> DataFrame:
-    """doc_id, words, mean_word_length, symbol_ratio (symbols a word), punctuated_lines and bullet_lines (shares of lines),
-    common_words (share of words), kind (prose, list, table, junk) and reasons (rules that fail), of every text not blank."""
+    """What ``measures`` says, with the shares of characters in sentences, entries, rows and noise, kind (prose, list, table, junk) and
+    reasons (rules that fail), of every text not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, furniture = _hashes(COMMON), _hashes(FURNITURE)
         names = [x.split()[0] for x in SCHEMA.split(", ")]
-        types = [pa.int64(), pa.int32(), *[pa.float64()] * 5, pa.string(), pa.list_(pa.string())]
+        types = [pa.int64(), pa.int32(), *[pa.float64()] * 9, pa.string(), pa.list_(pa.string())]
         for b in batches:
             ids = b.column(0).to_pylist()
             for first, g in groups(column(b, "text")):

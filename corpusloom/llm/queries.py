@@ -83,6 +83,29 @@ def p7_fill(s: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p7_places(s, d))
 
 
+def p6_texts(s: SparkSession, d: str) -> DataFrame:
+    """The texts that the ids of p6_ids stand for."""
+    return encode.decode(p6_ids(s, d))
+
+
+def p7_checks(s: SparkSession, d: str) -> DataFrame:
+    return packing.checks(p7_places(s, d))
+
+
+#: Limits of a container of instruction records: tokens, records, and loss-bearing tokens (those of the responses).
+PAIRS = {"capacity": 4097, "segments": 24, "loss_capacity": 1792}
+
+
+def p7_pairs(s: SparkSession, d: str) -> DataFrame:
+    """Instruction records in containers, with the tokens of the response as loss-bearing ones: all three limits hold at once."""
+    sizes = encode.token_counts(_read(s, d, "json_rows"), id_col="rec_id", text="instruction", also="response")
+    return packing.containers(sizes, loss="n_also", **PAIRS)
+
+
+def p7_pairs_fill(s: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(p7_pairs(s, d), **PAIRS)
+
+
 def p8_found(s: SparkSession, d: str) -> DataFrame:
     return p8_statistics(s, d).where("kind <> 'prose'").select("doc_id", "kind")
 
@@ -91,8 +114,12 @@ def p8_statistics(s: SparkSession, d: str) -> DataFrame:
     return quality.quality(_read(s, d, "documents"), id_col="doc_id", text="text")
 
 
+def p8_measures(s: SparkSession, d: str) -> DataFrame:
+    return quality.measures(_read(s, d, "documents"), id_col="doc_id", text="text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_classes, p1_links, p1_groups, p2_found, p2_leaks, p3_found, p3_segments, p4_draws, p4_shares, p5_found, p6_ids, p7_places, p7_fill, p8_found, p8_statistics)}
+    return {f.__name__: f for f in (p1_found, p1_classes, p1_links, p1_groups, p2_found, p2_leaks, p3_found, p3_segments, p4_draws, p4_shares, p5_found, p6_ids, p6_texts, p7_places, p7_fill, p7_checks, p7_pairs, p7_pairs_fill, p8_found, p8_statistics, p8_measures)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -118,6 +118,25 @@ def test_places(spark, monkeypatch):
     assert packing.containers(df.union(df), capacity=100).count() == 2 * len(rows)
 
 
+def test_three_limits(spark, monkeypatch):
+    """Records with many loss-bearing tokens, with few tokens, and with many: each limit fills containers."""
+    monkeypatch.setattr(packing, "SHARD", 3)
+    rng = np.random.default_rng(2)
+    rows = [(i, int(n), int(n * x)) for i, (n, x) in enumerate(zip(rng.choice([2, 3, 25], 900), rng.choice([0.1, 0.9], 900)))]
+    df = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint, n_loss bigint")
+    args = dict(capacity=200, segments=10, loss_capacity=100)
+    placed = packing.containers(df, loss="n_loss", **args)
+    by = defaultdict(lambda: np.zeros(3, int))
+    for r in placed.collect():
+        by[r.container] += (r.n_tokens, 1, r.loss)
+    assert len(by) and all((v <= (200, 10, 100)).all() for v in by.values()) and sum(v[1] for v in by.values()) == 900
+    f = packing.fill_report(placed, **args).first()
+    assert f.full_segments > 0 and f.full_loss > 0 and 0 < f.loss_share <= 1
+    c = packing.checks(placed, 200).first()
+    assert tuple(c) == (900, 0, 0, 0)
+    assert tuple(packing.checks(packing.containers(df.limit(0))).first()) == (0, 0, 0, 0)
+
+
 @pytest.mark.parametrize("name", list(queries.queries()))
 def test_queries_run(spark, name):
     import os

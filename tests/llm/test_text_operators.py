@@ -515,6 +515,13 @@ def test_encode_long_pieces_and_specials(library):
         assert list(e.piece(p.encode())) == t.encode(p, add_special_tokens=False).ids
 
 
+def test_decode(spark):
+    rows = [(1, "Ünïcode — <|endoftext|>\n\n  12"), (2, ""), (3, None), (4, "a" * 3000 + "😀")]
+    ids = encode.encode(spark.createDataFrame(rows, "doc_id bigint, text string"), id_col="doc_id", text="text")
+    assert {r.doc_id: r.text for r in encode.decode(ids).collect()} == {i: t or "" for i, t in rows}
+    assert encode.decode(ids.limit(0)).count() == 0
+
+
 def test_encode_rows(spark, library):
     df = spark.createDataFrame([(1, "a b", 7), (2, None, 8), (3, "", 9), (1, "a b", 7)], "doc_id bigint, text string, ids int")
     got = sorted((r.doc_id, r.ids) for r in encode.encode(df, id_col="doc_id", text="text").collect())
@@ -535,6 +542,26 @@ KINDS = {
 }
 
 
+def test_symbols_and_words_of_whole_texts(spark):
+    rows = [(1, "→ ★ ■"), (2, "one two three ∑∑∑∑∑∑ four five six seven eight nine →→→→→"), (3, "The sum $x + y = 12$ is `print(z)` of both."), (4, "１２ ﬁne caf\u0065\u0301 \u00adx")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in quality.quality(df, id_col="doc_id", text="text").collect()}
+    assert got[1].kind == "junk" and got[1].symbol_ratio == 3.0
+    assert got[2].words == 9 and got[2].symbol_ratio == 11 / 9
+    assert got[3].words == 10 and got[4].words == 4 and got[4].symbol_ratio == 0
+    plain = {r.doc_id: r for r in quality.measures(df.union(df.limit(0)), id_col="doc_id", text="text").collect()}
+    assert {k: (v.words, v.symbol_ratio, v.mean_word_length) for k, v in plain.items()} == {k: (v.words, v.symbol_ratio, v.mean_word_length) for k, v in got.items()}
+    assert plain[1].fails == "mean_word_length,symbol_ratio,few_common_words,unpunctuated_lines"
+
+
+def test_reasons_are_thresholds(spark):
+    df = spark.createDataFrame([(i, t) for i, (k, v) in enumerate(KINDS.items()) for t in v], "doc_id bigint, text string")
+    for r in quality.quality(df, id_col="doc_id", text="text").collect():
+        assert set(r.reasons) <= {*quality.PUBLISHED, "repeated_words", "unreadable_sentences", "few_sentences", "many_entries", "many_rows"}
+        assert r.kind == "prose" or set(r.reasons) & set(quality.PUBLISHED)
+        assert r.sentences + r.entries + r.rows + r.noise <= 1.001
+
+
 def test_quality(spark):
     rows = [(i, t, k) for i, (k, t) in enumerate((k, t) for k, v in KINDS.items() for t in v)]
     df = spark.createDataFrame([(i, t, "x") for i, t, _ in rows] + [(900, None, "x"), (901, "", "x"), (902, " \n\xa0​", "x")], "doc_id bigint, text string, kind string")
