@@ -27,8 +27,9 @@ def task_offsets(rows: DataFrame) -> DataFrame:
 
 
 def metadata(drawn: DataFrame, *, epochs: int, context: int = 4097) -> DataFrame:
-    """One row: max_seq_len, total_length (mean tokens an epoch, halves to even; 0 without epochs)."""
-    t = F.coalesce(F.sum(F.col("inst_len") + F.col("resp_len")), F.lit(0))
+    """One row: max_seq_len, total_length (mean tokens an epoch, halves to even; 0 without epochs). ``drawn``: draws, or rows with ``cov``."""
+    times = F.col("cov") if "cov" in drawn.columns else F.lit(1)
+    t = F.coalesce(F.sum((F.col("inst_len") + F.col("resp_len")) * times), F.lit(0))
     return drawn.agg(t.alias("t")).select(F.lit(context).alias("max_seq_len"), (F.bround(F.col("t").cast("decimal(38,4)") / epochs, 0).cast("bigint") if epochs else F.lit(0).cast("bigint")).alias("total_length"))
 
 

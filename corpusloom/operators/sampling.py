@@ -6,19 +6,30 @@ epoch to epoch, every epoch can be made alone, and a row is drawn floor or ceil
 
 Orders are numbered without sorting a whole task in one place: rows are numbered within buckets of the hash's first
 digits, and the buckets' sizes are added up.
+
+Policies and plans have one row for each file. Where a count says that these are few (``few``) they are broadcast, so that the index is
+joined where it lies, however much of it one file has; else Spark chooses.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CONTEXT, LEAST_RESPONSE = 4097, 2
+#: Files whose policies are broadcast.
+FILES = 200_000
+
 
+def few(policy: DataFrame, most: int = FILES) -> bool:
+    """Has the policy so few rows (one for each file) that it, and a plan made from it, may be broadcast?"""
+    return policy.limit(most + 1).count() <= most
 
-def numbered(df: DataFrame, keys: list[str], by: str, ties: list[str], to: str) -> DataFrame:
-    """``to``: the place (from 0) of each row in its group in the order of the hex string ``by``, then ``ties``."""
-    df = df.withColumn("_b", F.substring(by, 1, 3))
+
+def numbered(df: DataFrame, keys: list[str], by: str, ties: list[str], to: str, *, digits: int = 3) -> DataFrame:
+    """``to``: the place (from 0) of each row in its group in the order of the hex string ``by``, then ``ties``. A group's rows are
+    put in order in 16 ** ``digits`` parts."""
+    df = df.withColumn("_b", F.substring(by, 1, digits))
     sizes = df.groupBy(*keys, "_b").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_before", F.sum("_n").over(Window.partitionBy(*keys).orderBy("_b")) - F.col("_n")).drop("_n")
     place = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(by, *ties)) - 1
@@ -43,7 +54,7 @@ def latest(index: DataFrame) -> DataFrame:
     return index.groupBy("task", "row_id").agg(F.max_by(F.struct(*rest), F.struct("indexed_at", "resp_len", "inst_start")).alias("r")).select("task", "row_id", "r.*")
 
 
-def clip(index: DataFrame, policy: DataFrame, *, context: int = CONTEXT, least: int = LEAST_RESPONSE) -> DataFrame:
+def clip(index: DataFrame, policy: DataFrame, *, context: int = CONTEXT, least: int = LEAST_RESPONSE, broadcast: bool = False) -> DataFrame:
     """Rows that fit; responses cut to what the instruction leaves where the policy truncates.
 
     The least length is tested before the cut, so a kept response may end shorter. Null lengths don't fit.
@@ -51,18 +62,28 @@ def clip(index: DataFrame, policy: DataFrame, *, context: int = CONTEXT, least:
     allowed = F.lit(context) - F.least("inst_len", F.lit(context))
     cut = F.col("long_context") == "truncate"
     ok = (F.col("resp_len") >= least) & F.when(cut, allowed >= 1).otherwise(F.col("resp_len") <= allowed)
-    j = index.join(policy.select("task", "max_per_file", "long_context", "repeat"), "task").where(ok)
+    p = policy.select("task", "max_per_file", "long_context", "repeat")
+    j = index.join(F.broadcast(p) if broadcast else p, "task").where(ok)
     return j.withColumn("resp_len", F.when(cut, F.least("resp_len", allowed)).otherwise(F.col("resp_len")).cast("bigint"))
 
 
-def draws(clipped: DataFrame, *, epochs: int, seed: int = 0) -> DataFrame:
-    """Every draw: task, row_id, draw (k), epoch, and the index columns. ``clipped``: as from ``clip``."""
+def _planned(clipped: DataFrame, epochs: int, broadcast: bool) -> DataFrame:
+    """Rows with n (rows of the file), R (draws an epoch) and D (in all); files without draws are left out."""
     n = clipped.groupBy("task").agg(F.count("*").alias("n"), F.first("max_per_file").alias("cap"), F.first("repeat").alias("rep"))
     per = F.least(F.coalesce("cap", F.col("n")), F.col("n")) * F.col("rep")
-    plan = n.withColumn("R", per.cast("bigint")).withColumn("D", F.col("R") * epochs).where("D > 0")
-    rows = clipped.join(plan.select("task", "n", "R", "D"), "task")
+    plan = n.withColumn("R", per.cast("bigint")).withColumn("D", F.col("R") * epochs).where("D > 0").select("task", "n", "R", "D")
+    return clipped.join(F.broadcast(plan) if broadcast else plan, "task")
+
+
+def _order(seed: int, number: str) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), "task", F.col(number).cast("string"), F.col("row_id").cast("string")))
+
+
+def draws(clipped: DataFrame, *, epochs: int, seed: int = 0, broadcast: bool = False) -> DataFrame:
+    """Every draw: task, row_id, draw (k), epoch, and the index columns. ``clipped``: as from ``clip``."""
+    rows = _planned(clipped, epochs, broadcast)
     passes = rows.withColumn("pass", F.explode(F.expr("sequence(0L, cast(ceil(D / n) as bigint) - 1)")))
-    passes = passes.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), "task", F.col("pass").cast("string"), F.col("row_id").cast("string"))))
+    passes = passes.withColumn("_h", _order(seed, "pass"))
     slots = numbered(passes, ["task", "pass"], "_h", ["row_id"], "slot")
     k = slots.withColumn("draw", F.col("pass") * F.col("n") + F.col("slot")).where("draw < D")
     out = [x for x in ("inst_start", "inst_len", "resp_start", "resp_len") if x in clipped.columns]
@@ -72,7 +93,7 @@ def draws(clipped: DataFrame, *, epochs: int, seed: int = 0) -> DataFrame:
 def shuffled(drawn: DataFrame, *, seed: int = 0) -> DataFrame:
     """``pos``: the place of each draw in its epoch, in an order by hash."""
     h = drawn.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"), "task", F.col("draw").cast("string"))))
-    return numbered(h, ["epoch"], "_h", ["task", "draw"], "pos").drop("_h")
+    return numbered(h, ["epoch"], "_h", ["task", "draw"], "pos", digits=5).drop("_h")
 
 
 def coverage(clipped: DataFrame, drawn: DataFrame) -> DataFrame:
@@ -81,12 +102,24 @@ def coverage(clipped: DataFrame, drawn: DataFrame) -> DataFrame:
     return clipped.join(n, ["task", "row_id"], "left").withColumn("cov", F.coalesce("cov", F.lit(0)).cast("bigint"))
 
 
-def training_sample(records: DataFrame, policy: DataFrame, *, factor: int = 10, chars: int = 10_000, seed: int = 0) -> DataFrame:
+def planned_coverage(clipped: DataFrame, *, epochs: int, seed: int = 0, broadcast: bool = False) -> DataFrame:
+    """What ``coverage`` says of ``draws``, without the draws: all passes but the last give each row once, and the last one gives it to
+    the rows that come first in its order. Only that order is numbered."""
+    n = clipped.groupBy("task").agg(F.count("*").alias("_n"), F.first("max_per_file").alias("_cap"), F.first("repeat").alias("_rep"))
+    D = F.least(F.coalesce("_cap", F.col("_n")), F.col("_n")) * F.col("_rep") * epochs
+    plan = n.select("task", F.greatest(D, F.lit(0)).cast("bigint").alias("_D"), "_n").select("task", F.expr("_D div _n").alias("_full"), F.expr("_D % _n").alias("_rest"))
+    rows = clipped.join(F.broadcast(plan) if broadcast else plan, "task")
+    even = rows.where("_rest = 0").withColumn("cov", F.col("_full"))
+    h = rows.where("_rest > 0").withColumn("_h", _order(seed, "_full"))
+    odd = numbered(h, ["task"], "_h", ["row_id"], "_slot").withColumn("cov", F.col("_full") + (F.col("_slot") < F.col("_rest")).cast("bigint"))
+    return even.select(*clipped.columns, "cov").unionByName(odd.select(*clipped.columns, "cov"))
+
+
+def training_sample(records: DataFrame, policy: DataFrame, *, factor: int = 10, chars: int = 10_000, seed: int = 0, broadcast: bool = False) -> DataFrame:
     """Documents for a tokenizer's statistics: instruction and response of each record, cut to ``chars`` code points, and
     of each task a uniform sample of ``factor * max_per_file`` of them at most (all without a cap). task, row_id, side, text."""
     docs = records.select("task", "row_id", F.posexplode(F.array("instruction", "response")).alias("side", "text")).where("text is not null")
-    j = docs.join(policy.select("task", "max_per_file"), "task").withColumn("text", F.left("text", F.lit(chars)))
+    p = policy.select("task", "max_per_file")
+    j = docs.join(F.broadcast(p) if broadcast else p, "task").withColumn("text", F.left("text", F.lit(chars)))
     h = j.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), "task", F.col("row_id").cast("string"), F.col("side").cast("string"))))
     return numbered(h, ["task"], "_h", ["row_id", "side"], "_p").where(F.col("max_per_file").isNull() | (F.col("_p") < F.col("max_per_file") * factor)).select("task", "row_id", "side", "text")
-
-

@@ -6,7 +6,9 @@ import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -63,6 +65,35 @@ def piece_counts(df: DataFrame, text: str) -> DataFrame:
     return df.select(F.explode(pieces(nfc(F.col(text)))).alias("piece")).groupBy("piece").agg(F.count("*").alias("n"))
 
 
+def _ids(t, texts: pa.Array) -> pa.Array:
+    """Lists of ids; each text of a batch is encoded once, however often it comes, and without offsets."""
+    once = texts.dictionary_encode()
+    got = [x.ids for x in t.encode_batch_fast([x or "" for x in once.dictionary.to_pylist()], add_special_tokens=False)]
+    place = once.indices.to_numpy(zero_copy_only=False)
+    place = np.where(np.isnan(place), -1, place).astype(np.int64) if once.indices.null_count else place
+    rows = [got[i] if i >= 0 else [] for i in place.tolist()]
+    n = np.fromiter(map(len, rows), np.int64, len(rows))
+    flat = np.fromiter(chain.from_iterable(rows), np.int32, int(n.sum()))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(flat))
+
+
+def detokenized(rows: DataFrame, spec: Spec) -> DataFrame:
+    """The columns of ``tokenized`` rows but for the tokens and their lengths, with instruction and response as the ids say: what frames them is taken off."""
+    body = rows.sparkSession.sparkContext.broadcast(open(spec.path).read())  # one tokenizer file
+    extra = [f for f in rows.schema if f.name not in ("inst_tokens", "resp_tokens", "inst_len", "resp_len")]
+    tags = 1 + F.size(F.split("condition", ","))
+    src = rows.select(*[f.name for f in extra], F.slice("inst_tokens", tags + 1, F.size("inst_tokens") - tags - 1).alias("_i"), F.slice("resp_tokens", F.lit(1), F.size("resp_tokens") - 1).alias("_r"))
+    schema = src.drop("_i", "_r").schema.add("instruction", T.StringType()).add("response", T.StringType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = _tokenizer(body.value)
+        for b in batches:
+            texts = [pa.array(t.decode_batch(b.column(len(extra) + i).to_pylist(), skip_special_tokens=False), pa.string()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(extra))), *texts], [*(f.name for f in extra), "instruction", "response"])
+
+    return src.mapInArrow(run, schema)
+
+
 def tokenized(records: DataFrame, spec: Spec) -> DataFrame:
     """Rows with inst_tokens ([boq, tags, instruction, eoq]) and resp_tokens ([response, eoa]), and their lengths.
 
@@ -75,12 +106,10 @@ def tokenized(records: DataFrame, spec: Spec) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = _tokenizer(body.value)
-        kind = pa.list_(pa.int32())
         for b in batches:
             cols = [b.column(i) for i in range(len(extra))]
             for name in ("instruction", "response"):
-                got = t.encode_batch([x or "" for x in b.column(b.schema.get_field_index(name)).to_pylist()], add_special_tokens=False)
-                cols.append(pa.array([x.ids for x in got], kind))
+                cols.append(_ids(t, b.column(b.schema.get_field_index(name))))
             yield pa.RecordBatch.from_arrays(cols, [f.name for f in extra] + ["_i", "_r"])
 
     rows = src.mapInArrow(run, schema)

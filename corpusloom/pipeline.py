@@ -121,14 +121,16 @@ def sample(spark: SparkSession, o: Sample) -> str:
     with open(o.policy) as f:
         rules = readers.policy_yaml(spark, f.read())
     base = layout.task_offsets(index)
-    clipped = sampling.clip(index, sampling.policies(index, rules), context=o.context, least=o.least)
-    drawn = sampling.draws(clipped, epochs=o.epochs, seed=o.seed)
+    policy = sampling.policies(index, rules)
+    few = sampling.few(policy)
+    clipped = sampling.clip(index, policy, context=o.context, least=o.least, broadcast=few)
+    drawn = sampling.draws(clipped, epochs=o.epochs, seed=o.seed, broadcast=few)
     placed = sampling.shuffled(drawn, seed=o.seed).join(base.select("task", "base"), "task").withColumns({"inst_start": F.col("inst_start") + F.col("base"), "resp_start": F.col("resp_start") + F.col("base")})
     placed.drop("base").write.mode("overwrite").partitionBy("epoch").parquet(f"{o.out}/epochs")
     back = spark.read.parquet(f"{o.out}/epochs")
     meta = layout.metadata(back, epochs=o.epochs, context=o.context).first()
     exports.sidecar(f"{o.out}/metadata.json", max_seq_len=meta.max_seq_len, total_length=meta.total_length)
-    return report.render(report.coverage_report(sampling.coverage(clipped, back)))
+    return report.render(report.coverage_report(sampling.planned_coverage(clipped, epochs=o.epochs, seed=o.seed, broadcast=few)))
 
 
 def main(args: list[str]) -> None:

@@ -17,7 +17,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 c, lit = F.col, F.lit
 W = X.BLANKS
-EPOCHS, SEED = 3, 0
+EPOCHS, SEED, FACTOR = 10, 0, 10
 TAG_IDS = {"direct": 1, "cot": 2, "noisy": 3, "synth": 4}
 
 
@@ -264,13 +264,25 @@ def _index(s, d):
     return sampling.latest(read(s, d, "task_indices"))
 
 
+def _policy(s, d):
+    """The policy of each file, and whether it is small enough to broadcast."""
+    policy = sampling.policies(read(s, d, "task_indices"), read(s, d, "prefix_config"))
+    return policy, sampling.few(policy)
+
+
 def _clipped(s, d):
-    index = _index(s, d)
-    return sampling.clip(index, sampling.policies(read(s, d, "task_indices"), read(s, d, "prefix_config")))
+    policy, few = _policy(s, d)
+    return sampling.clip(_index(s, d), policy, broadcast=few), few
 
 
 def _drawn(s, d):
-    return sampling.draws(_clipped(s, d), epochs=EPOCHS, seed=SEED)
+    clipped, few = _clipped(s, d)
+    return sampling.draws(clipped, epochs=EPOCHS, seed=SEED, broadcast=few)
+
+
+def _covered(s, d):
+    clipped, few = _clipped(s, d)
+    return sampling.planned_coverage(clipped, epochs=EPOCHS, seed=SEED, broadcast=few)
 
 
 @query(f"WITH {_POLICY} SELECT * FROM policy")
@@ -285,7 +297,7 @@ def latest_index(s, d):
 
 @query(f"WITH {_LATEST}, {_POLICY}, {_CLIP} SELECT task, row_id, inst_len, CAST(resp_len AS BIGINT) AS resp_len FROM clipped")
 def clipped_rows(s, d):
-    return _clipped(s, d).select("task", "row_id", "inst_len", "resp_len")
+    return _clipped(s, d)[0].select("task", "row_id", "inst_len", "resp_len")
 
 
 @query(
@@ -307,7 +319,7 @@ def sample_epochs(s, d):
 
 @query(f"{_ALL} SELECT c.task, c.row_id, CAST(coalesce(k, 0) AS BIGINT) AS cov FROM clipped c LEFT JOIN (SELECT task, row_id, count(*) AS k FROM drawn GROUP BY task, row_id) x ON c.task = x.task AND c.row_id = x.row_id")
 def sample_coverage(s, d):
-    return sampling.coverage(_clipped(s, d), _drawn(s, d)).select("task", "row_id", "cov")
+    return _covered(s, d).select("task", "row_id", "cov")
 
 
 @query(f"{_ALL} SELECT epoch, task, CAST(draw AS BIGINT) AS draw, CAST(row_number() OVER (PARTITION BY epoch ORDER BY md5(concat_ws('|', '{SEED}', CAST(epoch AS VARCHAR), task, CAST(draw AS VARCHAR))), task, draw) - 1 AS BIGINT) AS pos FROM drawn")
@@ -324,20 +336,21 @@ _COUNTS = {"rows": "count(*)", "toks": "sum(i + r)", "inst_toks": "sum(i)", "res
     f"SELECT CASE g.g WHEN 0 THEN 'task' WHEN 1 THEN 'category' ELSE 'global' END AS level, CASE g.g WHEN 0 THEN g.task WHEN 1 THEN g.category ELSE 'GLOBAL' END AS name, {', '.join(f'g.{k}' for k in _COUNTS)}, {', '.join(f'g.{k} / greatest(1, w.{k}) AS pct_{k}' for k in _COUNTS)} FROM g, w"
 )
 def coverage_report(s, d):
-    return report.coverage_report(sampling.coverage(_clipped(s, d), _drawn(s, d)))
+    return report.coverage_report(_covered(s, d))
 
 
 @query(f"{_ALL} SELECT 4097 AS max_seq_len, CAST(round_even(CAST(sum(inst_len + resp_len) AS DOUBLE) / {EPOCHS}, 0) AS BIGINT) AS total_length FROM drawn")
 def dataset_metadata(s, d):
-    return layout.metadata(_drawn(s, d), epochs=EPOCHS)
+    return layout.metadata(_covered(s, d), epochs=EPOCHS)
 
 
 @query(
-    f"WITH {_POLICY}, docs AS (SELECT task, row_id, unnest([0, 1]) AS side, unnest([instruction, response]) AS text FROM (SELECT task, rec_id AS row_id, instruction, response FROM json_rows)), k AS (SELECT task, row_id, side, left(text, 10000) AS text, max_per_file, row_number() OVER (PARTITION BY task ORDER BY md5(concat_ws('|', '0', task, CAST(row_id AS VARCHAR), CAST(side AS VARCHAR))), row_id, side) - 1 AS p FROM docs JOIN policy USING (task) WHERE text IS NOT NULL) SELECT task, row_id, side, text FROM k WHERE max_per_file IS NULL OR p < max_per_file * 2"
+    f"WITH {_POLICY}, docs AS (SELECT task, row_id, unnest([0, 1]) AS side, unnest([instruction, response]) AS text FROM (SELECT task, rec_id AS row_id, instruction, response FROM json_rows)), k AS (SELECT task, row_id, side, left(text, 10000) AS text, max_per_file, row_number() OVER (PARTITION BY task ORDER BY md5(concat_ws('|', '0', task, CAST(row_id AS VARCHAR), CAST(side AS VARCHAR))), row_id, side) - 1 AS p FROM docs JOIN policy USING (task) WHERE text IS NOT NULL) SELECT task, row_id, side, text FROM k WHERE max_per_file IS NULL OR p < max_per_file * {FACTOR}"
 )
 def training_sample(s, d):
     records = read(s, d, "json_rows").select("task", c("rec_id").alias("row_id"), "instruction", "response")
-    return sampling.training_sample(records, sampling.policies(read(s, d, "task_indices"), read(s, d, "prefix_config")), factor=2)
+    policy, few = _policy(s, d)
+    return sampling.training_sample(records, policy, factor=FACTOR, broadcast=few)
 
 
 # --- Tokens.
@@ -354,18 +367,39 @@ def piece_counts_plain(s, d):
     return t.groupBy("piece").agg(F.count("*").alias("n"))
 
 
-@query()
+# The pattern's only look ahead, of a run of blanks before something else, is said by a mark that ends the run one blank earlier.
+_MARK = "\\x{10FFFF}"
+_GAP = r"\s\x0b\x85\p{Z}"
+_PIECES = rf"(?i:'s|'t|'re|'ve|'m|'ll|'d)|[^\r\n\p{{L}}\p{{N}}{_MARK}]?\p{{L}}+|\p{{N}}| ?[^{_GAP}\p{{L}}\p{{N}}{_MARK}]+[\r\n]*|[{_GAP}]*[\r\n]+|[{_GAP}]+"
+
+
+@query(
+    rf"""WITH t AS (SELECT regexp_replace(nfc_normalize(text), '([{_GAP}])([\t\x0b\f\x85\p{{Z}}][^{_GAP}])', '\1' || chr(1114111) || '\2', 'g') AS x FROM documents)
+SELECT piece, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(regexp_extract_all(x, '{_PIECES.replace("'", "''")}')) AS piece FROM t) GROUP BY piece"""
+)
 def piece_counts(s, d):
     return tokenize.piece_counts(read(s, d, "documents"), "text")
 
 
-@query()
-def tokenized_rows(s, d):
+def _spec():
     import public_tokenizers as P
 
-    spec = tokenize.Spec(P.path("byte_bpe_50k.json"), 50256, 50256, 50256, TAG_IDS)
+    return tokenize.Spec(P.path("byte_bpe_50k.json"), 50256, 50256, 50256, TAG_IDS)
+
+
+def _tokenized(s, d):
     good = read(s, d, "json_rows").where(violation(c("condition"), c("instruction"), c("response")).isNull())
-    return tokenize.tokenized(good.select("rec_id", "task", "condition", "instruction", "response"), spec).select("rec_id", "inst_tokens", "resp_tokens", "inst_len", "resp_len")
+    return tokenize.tokenized(good.select("rec_id", "task", "condition", "instruction", "response"), _spec())
+
+
+@query()
+def tokenized_rows(s, d):
+    return _tokenized(s, d).select("rec_id", "inst_tokens", "resp_tokens", "inst_len", "resp_len")
+
+
+@query("SELECT rec_id, condition, instruction, response FROM json_rows WHERE condition IS NOT NULL AND condition <> '' AND len(list_filter(string_split(condition, ','), lambda x: x NOT IN ('direct', 'cot', 'noisy', 'synth'))) = 0 AND instruction IS NOT NULL AND response IS NOT NULL")
+def tokenized_round_trip(s, d):
+    return tokenize.detokenized(_tokenized(s, d), _spec()).select("rec_id", "condition", "instruction", "response")
 
 
 # --- Manifests.

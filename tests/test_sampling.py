@@ -26,6 +26,9 @@ def test_invariants(spark, n, cap, rep, epochs):
     R = min(cap if cap is not None else n, n) * rep
     assert len(drawn) == R * epochs
     assert all(v == R for v in Counter(r.epoch for r in drawn).values())
+    every = sorted(map(tuple, sampling.coverage(clipped, sampling.draws(clipped, epochs=epochs, seed=3)).select("task", "row_id", "cov").collect()))
+    for b in (False, True):
+        assert every == sorted(map(tuple, sampling.planned_coverage(clipped, epochs=epochs, seed=3, broadcast=b).select("task", "row_id", "cov").collect()))
     cov = {r.row_id: r["cov"] for r in sampling.coverage(clipped, sampling.draws(clipped, epochs=epochs, seed=3)).where("task = 't'").collect()}
     assert len(cov) == n
     if n:
@@ -105,3 +108,13 @@ def test_metadata_and_report(spark):
     text = report.render(report.coverage_report(sampling.coverage(clipped, drawn)))
     assert "| **GLOBAL** | 11 (100.0%) |" in text and "Total Unique Rows Sampled:** 9 out of 11 (81.82%)" in text
     assert report.coverage_report(sampling.coverage(clipped, drawn).limit(0)).count() == 0
+
+
+def test_small_policies_are_broadcast(spark):
+    index = tasks(spark, [("t", 30, None, 1), ("u", 20, 5, 2)])
+    policy = index.select("task", "max_per_file", "long_context", "repeat").distinct()
+    assert sampling.few(policy) and not sampling.few(policy, 1)
+    rows = index.drop("max_per_file", "long_context", "repeat")
+    drawn = sampling.draws(sampling.clip(rows, policy, broadcast=True), epochs=2, broadcast=True)
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rightHint=(strategy=broadcast)") >= 2 and "leftHint" not in plan
