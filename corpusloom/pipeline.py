@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
-import shutil
+import re
 import sys
+from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,52 +69,106 @@ def clean(spark: SparkSession, o: Clean) -> None:
     exports.parquet(bad, f"{o.out}/quarantine")
 
 
+#: Files that one job takes.
+BATCH = 1000
+
+
 def tokenized(spark: SparkSession, o: Tokenize) -> dict[str, list[str]]:
     """Token rows of every file that is new, changed, or was done with another tokenizer; outputs whose source is gone are
-    removed, and only those. A file that can't be read keeps its old output and is tried again next time.
+    removed, and only those. A file that can't be read, or holds a broken row, keeps its old output and is tried again next time.
 
-    ``info``: JSON with the ids boq, eoq, eoa and the tags' ids (condition_mapping). Gives tasks done, failed and removed.
+    Files are taken ``BATCH`` at a time, each batch in one job. ``info``: JSON with the ids boq, eoq, eoa and the tags' ids (condition_mapping).
+    Gives tasks done, failed and removed.
     """
     info = readers.tokenizer_info(o.info)
     spec = tokenize.Spec(o.tokenizer, info["boq"], info["eoq"], info["eoa"], info["condition_mapping"])
     with open(o.tokenizer, "rb") as f:
         now = readers.listing(spark, *o.roots.split(",")).withColumn("tokenizer_hash", F.lit(hashlib.md5(f.read()).hexdigest()))
     kept = f"{o.out}/manifest.json"
-    old = json.load(open(kept)) if os.path.exists(kept) else []
+    old = json.loads(exports.read_text(spark, kept) or "[]")
     before = spark.createDataFrame([tuple(x) for x in old], "task string, path string, source_size bigint, source_mtime bigint, tokenizer_hash string, status string")
     gone = [r.task for r in incremental.orphans(now, before).collect()]
     for t in gone:
-        shutil.rmtree(f"{o.out}/rows/task={t}", ignore_errors=True)
+        exports.remove(spark, f"{o.out}/rows/task={t}")
+    files = sorted(incremental.changed(now, before).collect(), key=lambda r: r.task)  # files, not rows
     done, failed = [], []
-    for r in incremental.changed(now, before).collect():  # files, not rows; each is its own job, so one that fails harms no other
-        try:
-            exports.clustered(_rows(spark, r.task, r.path, spec), f"{o.out}/rows")
-            done.append(r)
-        except Exception as e:  # noqa: BLE001
-            print(f"{r.task}: {str(e)[:300]}", file=sys.stderr)
-            failed.append(r)
+    for kind in (".jsonl", ".parquet"):
+        mine = [r for r in files if r.path.endswith(kind)]
+        for at in range(0, len(mine), BATCH):
+            bad = _batch(spark, mine[at : at + BATCH], kind, spec, f"{o.out}/rows")
+            for path, why in bad.items():
+                print(f"{path}: {why}", file=sys.stderr)
+            failed += [r for r in mine[at : at + BATCH] if r.path in bad]
+            done += [r for r in mine[at : at + BATCH] if r.path not in bad]
     again = {r.task for r in done + failed}
     rest = [x for x in old if x[0] not in again and x[0] not in gone]
-    os.makedirs(o.out, exist_ok=True)
-    with open(kept + ".new", "w") as f:
-        json.dump(rest + [[*r, "ok"] for r in done] + [[*r, "failed"] for r in failed], f)
-    os.replace(kept + ".new", kept)
+    exports.write_text(spark, kept, json.dumps(rest + [[*r, "ok"] for r in done] + [[*r, "failed"] for r in failed]))
     return {"done": sorted(r.task for r in done), "failed": sorted(r.task for r in failed), "removed": sorted(gone)}
 
 
-def _rows(spark: SparkSession, task: str, path: str, spec: tokenize.Spec) -> DataFrame:
-    if path.endswith(".jsonl"):
-        good, bad = readers.json_lines(spark, path)
-        if line := bad.first():
-            raise ValueError(f"{line.reason}: {line.line[:100]}")
-        raw = good.withColumn("_at", F.monotonically_increasing_id())
-    else:
-        raw = spark.read.parquet(path).select(*RECORD.names, F.col("_metadata.row_index").alias("_at"))
-    sound, broken = quarantine(raw, null_as_empty=True)
-    if row := broken.first():
-        raise ValueError(row.violation)
-    rows = readers.with_row_ids_in_blocks(sound.withColumn("task", F.lit(task)), "_at").select("task", "row_id", *RECORD.names)
-    return layout.row_offsets(tokenize.tokenized(rows, spec))
+def _batch(spark: SparkSession, files: list, kind: str, spec: tokenize.Spec, out: str) -> dict[str, str]:
+    """Writes the rows of the files; those that can't be, with the reason. Broken rows are found first, so that a file is written whole or not at all."""
+    task = spark.createDataFrame([(_plain(r.path), r.task, r.path) for r in files], "_p string, task string, path string")
+    bad: dict[str, str] = {}
+    try:
+        if kind == ".parquet":
+            bad = _unreadable(spark, [r.path for r in files])
+            if len(bad) == len(files):
+                return bad
+        raw, odd = _raw(spark, [r.path for r in files if r.path not in bad], kind)
+        sound, broken = quarantine(raw, null_as_empty=True)
+        wrong = broken.select("_p", F.col("violation").alias("why"))
+        wrong = wrong.unionByName(odd) if odd is not None else wrong
+        for r in wrong.groupBy("_p").agg(F.min("why").alias("why")).join(task, "_p").collect():  # at most a row for each file of the batch
+            bad[r.path] = r.why
+        good = task.where(~F.col("path").isin(list(bad))) if bad else task
+        if len(bad) < len(files):
+            rows = readers.with_row_ids_in_blocks(sound.join(F.broadcast(good.select("_p", "task")), "_p"), "_at").select("task", "row_id", *RECORD.names)
+            exports.clustered(layout.row_offsets(tokenize.tokenized(rows, spec)), out)
+        return bad
+    except Exception as e:  # noqa: BLE001
+        if len(files) == 1:
+            return {files[0].path: str(e)[:300]}
+        # A file that can't be read at all: the batch is halved until it stands alone.
+        half = len(files) // 2
+        return _batch(spark, files[:half], kind, spec, out) | _batch(spark, files[half:], kind, spec, out)
+
+
+def _plain(path: str) -> str:
+    """A path as Spark names it in a row's metadata, without the slashes that differ."""
+    from urllib.parse import quote
+
+    return re.sub(r"^file:/+", "file:/", quote(path, safe="/:=+@,~!$&'()*;"))
+
+
+def _raw(spark: SparkSession, paths: list[str], kind: str) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with the file (_p) and their order in it (_at); and lines that are no records (_p, why)."""
+    p = F.regexp_replace("path", "^file:/+", "file:/").alias("_p")
+    if kind == ".jsonl":
+        good, bad = readers.json_lines(spark, *paths)
+        return good.select(p, *RECORD.names, F.monotonically_increasing_id().alias("_at")), bad.select(p, F.concat_ws(": ", "reason", F.substring("line", 1, 100)).alias("why"))
+    return spark.read.schema(RECORD).parquet(*paths).select(F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("_p"), *RECORD.names, F.col("_metadata.row_index").alias("_at")), None
+
+
+def _unreadable(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Parquet files whose footer can't be read or lacks a column, with the reason; looked at where the executors are."""
+
+    def look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+
+        for f in frames:
+            why = []
+            for p in f.path:
+                try:
+                    with readers.random_access(p) as body:
+                        lacks = set(RECORD.names) - set(pq.read_schema(body).names)
+                    why.append(f"no column {min(lacks)}" if lacks else None)
+                except Exception as e:  # noqa: BLE001
+                    why.append(str(e)[:200])
+            yield pd.DataFrame({"path": f.path, "why": why})
+
+    df = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 64))
+    return {r.path: r.why for r in df.mapInPandas(look, "path string, why string").where("why is not null").collect()}  # of one batch
 
 
 def sample(spark: SparkSession, o: Sample) -> str:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import tarfile
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -56,30 +58,39 @@ def csv_by_place(spark: SparkSession, path: str, *names: str) -> DataFrame:
 def alternating_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text files of a question and an answer in turn: subset (folder), file, pair, instruction, response; both stripped.
 
-    A file with an odd number of lines gives no rows (see ``odd_files``).
+    A file with an odd number of lines gives no rows (see ``odd_files``). Files are read in blocks and put together by the numbers of their lines.
     """
-    t = _lines(spark, path)
-    return t.where("n % 2 = 0").select("subset", "file", F.posexplode(F.expr("transform(sequence(0, n div 2 - 1), i -> struct(lines[2 * i] as q, lines[2 * i + 1] as a))")).alias("pair", "x")).select("subset", "file", "pair", X.strip(F.col("x.q")).alias("instruction"), X.strip(F.col("x.a")).alias("response"))
+    t, files = _lines(spark, path)
+    side = lambda i: F.max(F.when(F.col("n") % 2 == i, F.col("value")))
+    pairs = t.withColumn("pair", F.expr("cast(n div 2 as int)")).groupBy("p", "pair").agg(side(0).alias("q"), side(1).alias("a"))
+    even = files.where("n % 2 = 0").select("p", "subset", "file")
+    return pairs.join(even, "p").select("subset", "file", "pair", X.strip(F.col("q")).alias("instruction"), X.strip(F.col("a")).alias("response"))
 
 
 def odd_files(spark: SparkSession, path: str) -> DataFrame:
-    return _lines(spark, path).where("n % 2 = 1").select("subset", "file", "n")
+    return _lines(spark, path)[1].where("n % 2 = 1").select("subset", "file", "n")
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True).select(F.col("value"), F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_name").alias("file"))
-    body = F.regexp_replace(F.regexp_replace("value", "\r\n?", "\n"), r"\n\z", "")
-    t = raw.select(F.element_at(F.split("p", "/"), -2).alias("subset"), "file", F.when(F.col("value") == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n")).alias("lines"))
-    return t.withColumn("n", F.size("lines")).where("n > 0")
+def _lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Lines with their number (n, from 0) in the file (p), and files with how many they have. Only the lines of a block are put in order together."""
+    m = F.col("_metadata")
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path).select("value", m.file_path.alias("p"), m.file_block_start.alias("b"), F.monotonically_increasing_id().alias("m"))
+    size = raw.groupBy("p", "b").agg(F.count("*").alias("k"))
+    before = size.withColumn("before", F.sum("k").over(Window.partitionBy("p").orderBy("b")) - F.col("k"))
+    within = F.row_number().over(Window.partitionBy("p", "b").orderBy("m")) - 1
+    lines = raw.withColumn("w", within).join(before.select("p", "b", "before"), ["p", "b"]).select("p", (F.col("before") + F.col("w")).alias("n"), "value")
+    part = lambda i: F.element_at(F.split("p", "/"), i)
+    return lines, size.groupBy("p").agg(F.sum("k").alias("n")).select("p", part(-2).alias("subset"), part(-1).alias("file"), "n")
 
 
 def tar_members(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
-    """Regular files with a suffix in .tar.gz archives: path, content. One archive is one task's work, streamed member by member."""
+    """Regular files with a suffix in .tar.gz archives: path, content. One archive is one task's work, read as a stream from where it lies, member by member;
+    no archive is held in memory."""
 
     def untar(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            for body in f.content:
-                with tarfile.open(fileobj=io.BytesIO(body), mode="r|*") as tar:
+            for p in f.path:
+                with _open(p) as body, tarfile.open(fileobj=body, mode="r|*") as tar:
                     names, data, size = [], [], 0
                     for m in tar:
                         if m.isfile() and m.name.endswith(suffix) and (x := tar.extractfile(m)) is not None:
@@ -91,7 +102,23 @@ def tar_members(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFra
                                 names, data, size = [], [], 0
                     yield pd.DataFrame({"path": names, "content": data})
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(untar, "path string, content binary")
+    return spark.read.format("binaryFile").load(path).select("path").mapInPandas(untar, "path string, content binary")
+
+
+def _open(uri: str):
+    """A stream of a file, in whatever file system the library knows by its URI."""
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+    return system.open_input_stream(path, compression=None)
+
+
+def random_access(uri: str):
+    """A file that can be read from any place on, by its URI."""
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+    return system.open_input_file(path)
 
 
 def listing(spark: SparkSession, *roots: str) -> DataFrame:
@@ -111,8 +138,7 @@ def listing(spark: SparkSession, *roots: str) -> DataFrame:
             name = f.getPath().toString()
             if name.endswith((".parquet", ".jsonl")):
                 rows.append((name.removeprefix(base).replace("/", "__").replace("\\", "__"), name, f.getLen(), f.getModificationTime() // 1000))
-    seen = [r[0] for r in rows]
-    if twice := sorted({x for x in seen if seen.count(x) > 1}):
+    if twice := sorted(x for x, n in Counter(r[0] for r in rows).items() if n > 1):
         raise ValueError(f"the same task below two roots: {twice[:5]}")
     return spark.createDataFrame(rows, "task string, path string, source_size bigint, source_mtime bigint")
 
@@ -157,8 +183,8 @@ def tokenizer_info(path: str) -> dict:
 
 
 def sized(df: DataFrame) -> DataFrame:
-    """Adds what file names like ``12__name.jsonl`` say: rsize (12) and name; null for other names."""
-    at = lambda i: F.nullif(F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)__(.*)$", i), F.lit(""))
+    """Adds what file names like ``12__name.jsonl`` say: rsize (12) and name; ``packed__name.jsonl`` has a name only; null for other names."""
+    at = lambda i: F.nullif(F.regexp_extract(F.col("_metadata.file_name"), r"^(?:(\d+)|packed)__(.*)$", i), F.lit(""))
     return df.select("*", at(1).cast("bigint").alias("rsize"), at(2).alias("name"))
 
 

@@ -52,6 +52,43 @@ def test_text_csv_tar(spark, tmp_path):
     assert sorted((r.path, bytes(r.content)) for r in readers.tar_members(spark, f"{tmp_path}/t.tar.gz").collect()) == [("m/a/b/1.txt", b"x"), ("m/a/b/3.txt", b"\xff")]
 
 
+def test_lines_of_files_in_blocks(spark, tmp_path):
+    body = [f"{'q' if i % 2 == 0 else 'a'}{i // 2} " + "x" * (i % 90) for i in range(4000)]
+    put(f"{tmp_path}/d/s/big.txt", "\r\n".join(body))
+    put(f"{tmp_path}/d/s/small.txt", "\n".join(body[:10]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        got = readers.alternating_lines(spark, f"{tmp_path}/d").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {("big.txt", i, body[2 * i].strip(), body[2 * i + 1].strip()) for i in range(2000)} | {("small.txt", i, body[2 * i].strip(), body[2 * i + 1].strip()) for i in range(5)}
+    assert len(got) == len(want) and {(r.file, r.pair, r.instruction, r.response) for r in got} == want
+
+
+def test_tokenizer_files(tmp_path):
+    from tokenizers import Tokenizer, models
+
+    t = Tokenizer(models.BPE({"a": 0, "b": 1, "ab": 2}, [("a", "b")]))
+    t.add_special_tokens(["<q>"])
+    exports.tokenizer_files(t.to_str(), f"{tmp_path}/t", boq="<q>", eoq="<q>", eoa="<q>", conditions={"cot": "<q>"})
+    again = Tokenizer.from_file(f"{tmp_path}/t/tokenizer.json")
+    assert again.encode("abb").ids == t.encode("abb").ids and "model_type" in readers.tokenizer_info(f"{tmp_path}/t/config.json")
+    info = readers.tokenizer_info(f"{tmp_path}/t/tokenizer_info.json")
+    assert info["vocab_size"] == t.get_vocab_size(True) == 4 and info["condition_mapping"] == {"cot": "<q>"}
+
+
+def test_small_files_by_any_file_system(spark, tmp_path):
+    p = f"file:{tmp_path}/f/x.json"
+    assert exports.read_text(spark, p) is None
+    for text in ("one — ü", "two"):
+        exports.write_text(spark, p, text)
+        assert exports.read_text(spark, p) == text
+    exports.remove(spark, f"file:{tmp_path}/f")
+    exports.remove(spark, f"file:{tmp_path}/f")
+    assert not os.path.exists(f"{tmp_path}/f")
+
+
 def test_listing_policy(spark, tmp_path):
     for p in ("r1/a/x.parquet", "r1/y.jsonl", "r1/z.txt", "r2/w.jsonl"):
         put(f"{tmp_path}/{p}", "abc")
@@ -152,16 +189,22 @@ def test_tokenize_stage(spark, tmp_path):
     put(f"{tmp_path}/in/x.jsonl", line("cot", "a b", "b") + line("direct", "a", "a a"))
     put(f"{tmp_path}/in/sub/y.jsonl", line("cot", "a", "b"))
     put(f"{tmp_path}/in/bad.jsonl", line("odd", "a", "b"))
+    put(f"{tmp_path}/in/torn.parquet", "PAR1 no more")
+    spark.createDataFrame([("cot", "b")], "condition string, instruction string").coalesce(1).write.parquet(f"{tmp_path}/in/lacks")
     spark.createDataFrame([("cot", "b", None)], "condition string, instruction string, response string").coalesce(1).write.parquet(f"{tmp_path}/in/p")
     o = pipeline.options(pipeline.Tokenize, [f"roots={tmp_path}/in", f"tokenizer={tmp_path}/t.json", f"info={tmp_path}/info.json", f"out={tmp_path}/out"])
     got = pipeline.tokenized(spark, o)
-    assert got["failed"] == ["bad.jsonl"] and got["removed"] == [] and len(got["done"]) == 3 and {"x.jsonl", "sub__y.jsonl"} < set(got["done"])
+    assert got["failed"][0] == "bad.jsonl" and got["failed"][-1] == "torn.parquet" and len(got["failed"]) == 3 and got["removed"] == [] and len(got["done"]) == 3 and {"x.jsonl", "sub__y.jsonl"} < set(got["done"])
     rows = {(r.task, r.row_id): r for r in spark.read.parquet(f"{tmp_path}/out/rows").collect()}
     x = rows["x.jsonl", 1]
     assert len(rows) == 4 and x.inst_tokens == [6, 2, 10, 7] and x.resp_tokens == [10, 10, 8] and (x.inst_start, x.resp_start) == (7, 11)
     os.remove(f"{tmp_path}/in/sub/y.jsonl")
+    os.remove(f"{tmp_path}/in/torn.parquet")
+    for f in os.listdir(f"{tmp_path}/in/lacks"):
+        os.remove(f"{tmp_path}/in/lacks/{f}")
     put(f"{tmp_path}/in/bad.jsonl", line("cot", "a", "b"))
-    assert pipeline.tokenized(spark, o) == {"done": ["bad.jsonl"], "failed": [], "removed": ["sub__y.jsonl"]}
+    again = pipeline.tokenized(spark, o)  # what failed before and is gone now leaves the manifest
+    assert again["done"] == ["bad.jsonl"] and again["failed"] == [] and again["removed"] == sorted(["sub__y.jsonl", "torn.parquet", *(x for x in got["failed"] if x.startswith("lacks"))])
     assert {r.task for r in spark.read.parquet(f"{tmp_path}/out/rows").select("task").distinct().collect()} == {"x.jsonl", "bad.jsonl", *(k[0] for k in rows if k[0].startswith("p__"))}
     put(f"{tmp_path}/s/12__more.jsonl", line("cot", "a", "b"))
     assert readers.sized(spark.read.json(f"{tmp_path}/s")).select("rsize", "name").first() == (12, "more.jsonl")
