@@ -425,8 +425,12 @@ def manifest_failures(s, d):
 
 
 def queries() -> dict[str, Query]:
+    from corpusloom.plans import round_trips  # noqa: F401  (registers its queries)
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from corpusloom.plans import round_trips  # noqa: F401
+
     return dict(SQL)
