@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, Observation
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -27,11 +26,8 @@ def durable(df: DataFrame) -> DataFrame:
 SMALL = 200_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """A table of few narrow rows (one for each file, source or bucket on a boundary), written down and marked for broadcast where the count,
-    taken as it is written, says that it is small; a larger one is left to Spark."""
-    from pyspark.sql import Observation
-
+def durable_with(df: DataFrame, **what: Column) -> tuple[DataFrame, dict]:
+    """``durable``, and aggregates of the rows that are taken as they are written."""
     seen = Observation()
-    kept = durable(df.observe(seen, F.count(F.lit(1)).alias("n")))
-    return F.broadcast(kept) if seen.get["n"] <= SMALL else kept
+    kept = durable(df.observe(seen, *[v.alias(k) for k, v in what.items()]))
+    return kept, seen.get

@@ -20,10 +20,12 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.durable import durable, small
+from corpusloom.llm.durable import SMALL, durable, durable_with
 from corpusloom.operators import sampling
 
 BITS = 12
@@ -62,31 +64,34 @@ def _last(rows: DataFrame, keys: list[str], size: str, *, closest: bool) -> Data
     return edge.select(*keys).join(best, keys, "left")
 
 
-def _drawable(index: DataFrame, targets: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Every draw there could be; the targets; tokens of all rows."""
+def _drawable(index: DataFrame, targets: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame, int, Callable[[DataFrame], DataFrame]]:
+    """Every draw there could be; the targets; tokens of all rows; and how to mark a table that has a row for each file and pass, or
+    fewer: for broadcast, if the count of these says that it is small, else not at all."""
     latest = index.where("task is not null and row_id is not null").groupBy("task", "row_id").agg(F.max(F.struct("indexed_at", "resp_len")).alias("r"))
-    rows = durable(latest.select("task", "row_id", F.col("r.resp_len").alias("resp_len"), F.split("task", "__", 2)[0].alias("source")).where("resp_len is not null and resp_len >= 0"))
-    total = rows.agg(F.sum("resp_len")).first()[0] or 0
+    rows = latest.select("task", "row_id", F.col("r.resp_len").alias("resp_len"), F.split("task", "__", 2)[0].alias("source")).where("resp_len is not null and resp_len >= 0")
+    rows, seen = durable_with(rows, total=F.sum("resp_len"))
     share = targets.where("source is not null").groupBy("source").agg(F.coalesce(F.max("target_share"), F.lit(0.0)).alias("target_share"))
-    policy = small(sampling.policies(rows, rules).where("repeat > 0").select("task", F.when(F.col("max_per_file") < 0, 0).otherwise(F.col("max_per_file")).alias("cap"), "repeat"))
-    d = rows.join(share.select("source"), "source").join(policy, "task")
+    policy = sampling.policies(rows, rules).where("repeat > 0").select("task", F.when(F.col("max_per_file") < 0, 0).otherwise(F.col("max_per_file")).alias("cap"), "repeat")
+    policy, size = durable_with(policy, passes=F.sum("repeat"))
+    mark = F.broadcast if (size["passes"] or 0) <= SMALL else (lambda x: x)
+    d = rows.join(share.select("source"), "source").join(mark(policy), "task")
     d = d.withColumn("pass", F.explode(F.expr("sequence(0, repeat - 1)")))
     digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(SEED)), "task", F.col("row_id").cast("string"), F.col("pass").cast("string"))), 1, 15)
-    return d.select("source", "task", "row_id", "pass", "resp_len", "cap", F.conv(digits, 16, 10).cast("long").alias("h")), share, int(total)
+    return d.select("source", "task", "row_id", "pass", "resp_len", "cap", F.conv(digits, 16, 10).cast("long").alias("h")), share, int(seen["total"] or 0), mark
 
 
 def draws(index: DataFrame, targets: DataFrame, rules: DataFrame, *, total: str = "even") -> DataFrame:
     """source, task, row_id, pass (from 0), resp_len: a row for every draw."""
     if total not in ("even", "all"):
         raise ValueError(total)
-    d, share, every = _drawable(index, targets, rules)
+    d, share, every, mark = _drawable(index, targets, rules)
     one = d.withColumn("one", F.lit(1).cast("long")).withColumn("c1", _cell(0))
     hist = durable(one.groupBy("source", "task", "cap", "pass", "c1").agg(F.sum("one").alias("n"), F.sum("resp_len").alias("t")))
     # Rows of each file and pass.
     keys = ["task", "pass"]
-    capped = small(_boundary(hist.where("cap is not null").withColumn("budget", F.col("cap")), keys, ["c1"], "n"))
+    capped = mark(_boundary(hist.where("cap is not null").withColumn("budget", F.col("cap")), keys, ["c1"], "n"))
     edge = durable(one.join(capped, [*keys, "c1"]))
-    limit = small(_last(edge, keys, "one", closest=False).join(capped.select(*keys, "c1"), keys))
+    limit = mark(durable(_last(edge, keys, "one", closest=False).join(capped.select(*keys, "c1"), keys)))
     kept = edge.join(limit.select(*keys, "last"), keys).where(F.struct("h", "task", "row_id") <= F.col("last"))
     by = hist.join(capped.select(*keys, F.col("c1").alias("cut")), keys, "left").where("cut is null or c1 < cut").select("source", "pass", "c1", "t")
     by = by.unionByName(kept.select("source", "pass", "c1", F.col("resp_len").alias("t")))
@@ -96,13 +101,13 @@ def draws(index: DataFrame, targets: DataFrame, rules: DataFrame, *, total: str
     reach = supply.agg(F.min(F.col("s") / F.col("target_share"))).first()[0]
     whole = float(every) if total == "all" or reach is None else min(float(every), reach)
     budget = by.join(share.select("source", (F.col("target_share") * whole).alias("budget")), "source")
-    bound = small(_boundary(budget, ["source"], ["pass", "c1"], "t"))
+    bound = mark(_boundary(budget, ["source"], ["pass", "c1"], "t"))
     allowed = one.join(limit.select(*keys, F.col("c1").alias("cut"), F.col("last").alias("most"), F.lit(True).alias("_l")), keys, "left")
     place = F.struct("h", "task", "row_id")
     allowed = allowed.where(F.col("_l").isNull() | (F.col("c1") < F.col("cut")) | ((F.col("c1") == F.col("cut")) & F.coalesce(place <= F.col("most"), F.lit(False)))).drop("cut", "most", "_l")
     rim = durable(allowed.join(bound, ["source", "pass", "c1"]))
     last = _last(rim, ["source"], "resp_len", closest=True)
-    ends = small(last.join(bound, "source").select("source", F.col("pass").alias("p"), F.col("c1").alias("cut"), "last", F.lit(True).alias("_e")))
+    ends = mark(last.join(bound, "source").select("source", F.col("pass").alias("p"), F.col("c1").alias("cut"), "last", F.lit(True).alias("_e")))
     first = F.struct("pass", "c1")
     edge_of = F.struct(F.col("p").alias("pass"), F.col("cut").alias("c1"))
     got = allowed.join(ends, "source", "left")

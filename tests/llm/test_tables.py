@@ -150,3 +150,24 @@ def test_queries_run(spark, name):
     assert rows and df.columns == columns.get(name, df.columns)
     if name.endswith("_found"):
         assert len({tuple(r) for r in rows}) == len(rows)
+
+
+@pytest.mark.parametrize("name", list(queries.oracle_sql()))
+def test_like_sql(spark, name):
+    import glob
+    import os
+
+    import duckdb
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no test data")
+    con = duckdb.connect()
+    for f in glob.glob(f"{d}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f}'")
+    df = queries.queries()[name](spark, d)
+    names = sorted(df.columns)
+    rel = con.sql(queries.oracle_sql()[name])
+    at = [rel.columns.index(c) for c in names]
+    assert sorted(rel.columns) == names
+    assert sorted(repr(tuple(r[c] for c in names)) for r in df.collect()) == sorted(repr(tuple(r[i] for i in at)) for r in rel.fetchall())
