@@ -34,6 +34,7 @@ def render(report: DataFrame) -> str:
     whole = rows["global"][0]
     shown = ("rows", "toks", "cov_rows", "cov_toks", "cov_inst", "cov_resp")
     out = []
+    # Headings and formats of the report's text.
     for title, part in (("Category", sorted([*rows["category"], whole], key=lambda r: r["name"])), ("Task", rows["task"])):
         out += [f"\n### {title} Coverage Stats", "| Name | Rows (%) | Tokens (%) | Cov Rows (%) | Cov Toks (%) | Cov IToks (%) | Cov RToks (%) |", "|------|" + "---|" * 6]
         out += [f"| **{r['name']}** | " + " | ".join(f"{r[x]:,} ({r[x] / max(1, whole[x]):.1%})" for x in shown) + " |" for r in part]
