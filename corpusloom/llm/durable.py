@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -31,3 +33,20 @@ def durable_with(df: DataFrame, **what: Column) -> tuple[DataFrame, dict]:
     seen = Observation()
     kept = durable(df.observe(seen, *[v.alias(k) for k, v in what.items()]))
     return kept, seen.get
+
+
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is made and run within are removed when it ended, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)

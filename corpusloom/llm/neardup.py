@@ -17,6 +17,10 @@ texts is heavy; light ones come first in the order.
 
 A set is large if it has more heavy shingles to choose from than the **boundary**, which **cost** chooses: with h of them, the
 subsets cost h (h - 1) / 2 postings and the lists h * L comparisons, L being the mean length of a heavy list in these data.
+Subsets also take disk, so a set of more than ``SUBSETS`` heavy shingles to choose from is large in any case.
+
+Postings carry signatures and are larger than the texts. They are sent in **rounds** by the hashes of their keys, as many as it takes
+(by a sample of the texts) for a round's to be at most ``ROUND`` times the texts; a round's are removed before the next is sent.
 
 Two texts of a list are held against their sizes and positions (from the first common shingle on, both must have as
 many left as the similarity asks for), then against a parity signature (similar sets differ in few elements, hence in few
@@ -34,20 +38,24 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bounded import gather
-from corpusloom.llm.durable import durable
+from corpusloom.llm.durable import durable, shuffles_freed
 from corpusloom.llm.words import LINK, U, Words, chains, column, groups, mix, words
 
 SHINGLE = 3
 BUCKETS, MARKS, RECENT = 1 << 23, 1 << 23, 1 << 20
-#: Sets of so many shingles have signatures of 512 bits, smaller ones of 256.
-WIDE = 128
+#: Sets of so many shingles have signatures of 512 bits, smaller ones of 256. (At 128, sets of 65 to 127 and larger ones passed
+#: by chance at 256 bits: pairs to check that grow with the square of the data.)
+WIDE = 64
 LARGE = U(0x5BF03635F0935AD1)
 #: Records of one text that a task holds together.
 PART = 4096
@@ -55,6 +63,11 @@ PART = 4096
 LIGHT, LIST = 1024, 1 << 14
 #: What sending and sorting a posting costs, in comparisons of two texts of a list (measured).
 POSTING = 80
+#: Heavy shingles at most of a set whose subsets are sent: with h of them these are h (h - 1) / 2 postings, and the lists h.
+SUBSETS = 4
+#: Bytes written of a posting, and of the text's size and signature where it is the text's first in its partition (they fit 53 bytes a posting, measured with 20 a text and 15 partitions);
+#: bytes of a round's postings at most, in bytes of the texts; shingles of the sample by which rounds are counted.
+POSTED, SIGNED, ROUND, SAMPLED = 17, 64, 2, 2_000_000
 #: Postings that are paired at once, and pairs that are sent on at once.
 TOGETHER, SENT = 150_000, 500_000
 
@@ -62,12 +75,13 @@ TOGETHER, SENT = 150_000, 500_000
 @dataclass(frozen=True)
 class Cost:
     """``light``: texts of a light list at most. ``spare``: what a bucket's count holds beside any one shingle (its mean).
-    ``boundary``: heavy shingles of a small set at most. ``part``: texts of one list in one part."""
+    ``boundary``: heavy shingles of a small set at most. ``part``: texts of one list in one part. ``subsets``: bounds ``boundary`` by disk."""
 
     light: int
     spare: int
     boundary: int
     part: int
+    subsets: int = 1 << 62
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -146,7 +160,40 @@ def choose(counts: np.ndarray, light: int | None = None, part: int | None = None
     light, part, spare = light or LIGHT, part or LIST, int(counts.mean())
     heavy = (counts[counts > light + spare] - spare).astype(np.float64)
     mean = float((heavy**2).sum() / heavy.sum()) if len(heavy) else 0.0  # of the list of a heavy shingle as texts meet it
-    return Cost(light, spare, 1 + int(2 * mean / POSTING), part)
+    return Cost(light, spare, 1 + int(2 * mean / POSTING), part, SUBSETS)
+
+
+def rounds(df: DataFrame, known: Broadcast, cost: Cost, least: int, similarity: float, shingles: int) -> int:
+    """In how many rounds the postings of ``df`` (text) go out, by a sample of about ``SAMPLED`` of its ``shingles``."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, texts, postings = 0, 0, 0
+
+        def sized() -> Iterator[pa.RecordBatch]:
+            nonlocal size
+            for b in batches:
+                size += pc.sum(pc.binary_length(b.column(0))).as_py() or 0
+                yield b
+
+        for keep, w, _ in _fresh(sized(), "text", least):
+            texts += int(keep.sum())
+            postings += len(keys(w, keep, known.value, cost, similarity)[0])
+        yield pa.RecordBatch.from_pydict({"size": pa.array([size]), "texts": pa.array([texts]), "postings": pa.array([postings])})
+
+    some = df.select("text") if shingles <= SAMPLED else df.select("text").sample(SAMPLED / shingles, seed=1)
+    size, texts, postings = some.mapInArrow(measure, "size long, texts long, postings long").agg(F.sum("size"), F.sum("texts"), F.sum("postings")).first()
+    return needed(size or 0, texts or 0, postings or 0, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def needed(size: int, texts: int, postings: int, partitions: int) -> int:
+    """Rounds in which so many postings of texts of so many bytes take ``ROUND`` times these bytes each at most."""
+    n = 1
+    while postings and n * texts < postings:
+        each = postings / texts / n
+        if texts * (each * POSTED + partitions * (1 - (1 - 1 / partitions) ** each) * SIGNED) <= ROUND * size:
+            break
+        n += 1
+    return n
 
 
 def coded(counts: np.ndarray) -> np.ndarray:
@@ -183,7 +230,7 @@ def keys(w: Words, keep: np.ndarray, counts: np.ndarray, cost: Cost, similarity:
         texts = _texts(w)
         many = np.bincount(d[heavy], minlength=w.n)
         # A set of which one common shingle is enough has no subsets.
-        large = (many > cost.boundary) | (np.ceil(similarity * size - 1e-9) < 2)
+        large = (many > min(cost.boundary, cost.subsets)) | (np.ceil(similarity * size - 1e-9) < 2)
         at = np.flatnonzero(heavy & one)
         out.append(_parts(d[at], h[at], left[at], guess[at], texts, cost.part, (~large[d[at]]).astype(U)))
         # The subsets: every heavy shingle (of the prefix of 1) with each later one (of the prefix of 2).
@@ -213,7 +260,7 @@ def _parts(d: np.ndarray, h: np.ndarray, left: np.ndarray, most: np.ndarray, tex
 
 
 def _meet(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key. Pairs of different texts with a common key that pass the bounds."""
+    """Rows come sorted by key and size. Pairs of different texts with a common key that pass the bounds."""
     names = ("key", "left", "text", "size", *(f"s{i}" for i in range(8)))
     rest: list[np.ndarray] | None = None
     recent = np.zeros((RECENT, 2), np.int64)  # pairs that were sent, so that most go out once
@@ -233,12 +280,29 @@ def _meet(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.R
     def pairs(x: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         key, left, text, size = x[:4]
         need = share * size - 5e-10
-        # Small sets come last in a heavy list and are held against large ones only.
-        after = np.where(key & 1, 0, np.searchsorted(key, key | 1, "right") - np.arange(len(key)) - 1)
-        found, n, step = [], 0, 1
+        # Of what follows in a list, sizes up to the one of which the rest of this text is the share; small sets come last in a
+        # heavy list and are held against large ones only, from the least size that is similar to the large one's.
+        run = np.cumsum(np.append(0, key[1:] != key[:-1])) << 32
+        place, most = run + size, np.clip(np.floor((left + 1e-9) / share - size), -1, (1 << 31) - 1).astype(np.int64)
+        upto = np.searchsorted(place, run + most, "right")
+        own = np.arange(len(key)) + 1
+        yield from held(x, need, own, np.where(key & 1, 0, upto - own))
+        small = np.searchsorted(key, key | 1)
+        at = np.flatnonzero((key & 1 == 0) & (small < len(key)))
+        at = at[key[small[at]] == key[at] | 1]
+        if len(at):
+            there, first, after = run[small[at]], own.copy(), np.zeros(len(key), np.int64)
+            first[at] = np.searchsorted(place, there + np.ceil(similarity * size[at] - 1e-9).astype(np.int64))
+            after[at] = np.searchsorted(place, there + most[at], "right") - first[at]
+            yield from held(x, need, first, after)
+
+    def held(x: list[np.ndarray], need: np.ndarray, first: np.ndarray, after: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Each posting against the ``after`` ones from ``first`` on."""
+        left, text, size = x[1:4]
+        found, n, step = [], 0, 0
         at = np.flatnonzero(after >= 1)
         while len(at):
-            b = at + step
+            b = first[at] + step
             ok = (np.minimum(left[at], left[b]) >= need[at] + need[b]) & (text[at] != text[b])
             ai, bi = at[ok], b[ok]
             total = size[ai] + size[bi]
@@ -256,7 +320,7 @@ def _meet(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.R
                 yield send(found)
                 found, n = [], 0
             step += 1
-            at = at[after[at] >= step]
+            at = at[after[at] > step]
         if found:
             yield send(found)
 
@@ -286,19 +350,32 @@ def _meet(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.R
 def similar_texts(df: DataFrame, id_col: str, text: str, *, least: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Records with enough words by text (id, text: a hash of its words), and the pairs of similar texts (a, b)."""
     df = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
+    with shuffles_freed(df.sparkSession):
+        return _similar_texts(df, least, similarity)
+
+
+def _similar_texts(df: DataFrame, least: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     counts, cost = costs(df, "text", least)
     spark = df.sparkSession
     known = spark.sparkContext.broadcast(coded(counts))  # BUCKETS bytes
+    n = rounds(df, known, cost, least, similarity, int(counts.sum()))
+
+    def meet(i: int) -> DataFrame:
+        def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for keep, w, h in _fresh(batches, "text", least):
+                d, k, left, size, sign = keys(w, keep, known.value, cost, similarity)
+                if n > 1:
+                    now = mix(k >> U(1)) % U(n) == U(i)
+                    d, k, left = d[now], k[now], left[now]
+                # What differs within a text comes first: the rest of a row repeats the row before, and compresses to a few bytes.
+                yield pa.RecordBatch.from_pydict({"key": pa.array(k.view(np.int64)), "left": pa.array(left.astype(np.int32)), "text": pa.array(h[d].view(np.int64)), "size": pa.array(size[d].astype(np.int32))} | {f"s{i}": pa.array(sign[d, i]) for i in range(8)})
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keep, w, h in _fresh(batches, "text", least):
-            d, k, left, size, sign = keys(w, keep, known.value, cost, similarity)
-            # What differs within a text comes first: the rest of a row repeats the row before, and compresses to a few bytes.
-            yield pa.RecordBatch.from_pydict({"key": pa.array(k.view(np.int64)), "left": pa.array(left.astype(np.int32)), "text": pa.array(h[d].view(np.int64)), "size": pa.array(size[d].astype(np.int32))} | {f"s{i}": pa.array(sign[d, i]) for i in range(8)})
+        posted = df.select("text").mapInArrow(post, "key long, left int, text long, size int, " + ", ".join(f"s{i} long" for i in range(8)))
+        return posted.repartition(F.shiftright("key", 1)).sortWithinPartitions("key", "size").mapInArrow(lambda it: _meet(it, similarity), "a long, b long")
 
-    posted = df.select("text").mapInArrow(post, "key long, left int, text long, size int, " + ", ".join(f"s{i} long" for i in range(8)))
-    met = posted.repartition(F.shiftright("key", 1)).sortWithinPartitions("key").mapInArrow(lambda it: _meet(it, similarity), "a long, b long")
-    met = durable(met.distinct())
+    met = durable(meet(0).distinct())
+    if n > 1:  # a pair may meet in more than one
+        met = durable(reduce(DataFrame.unionByName, [met, *(durable(meet(i).distinct()) for i in range(1, n))]).distinct())
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for b in batches:
@@ -332,7 +409,7 @@ def similar_texts(df: DataFrame, id_col: str, text: str, *, least: int, similari
     both = met.join(sets.withColumnsRenamed({"text": "a", "set": "sa"}), "a").join(sets.withColumnsRenamed({"text": "b", "set": "sb"}), "b")
     inter = F.size(F.array_intersect("sa", "sb"))
     similar = both.select("a", "b", inter.alias("i"), (F.size("sa") + F.size("sb") - inter).alias("u")).where(F.col("i") >= F.col("u") * similarity).select("a", "b")
-    return of.select("id", "text").distinct(), similar
+    return of.select("id", "text").distinct(), durable(similar)
 
 
 def near_classes(df: DataFrame, id_col: str, text: str, *, least: int = 20, similarity: float = 0.5) -> DataFrame:

@@ -1,8 +1,10 @@
 import random
 import re
+import time
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -139,6 +141,54 @@ def test_both_sides_find_rows(spark, monkeypatch, boundary):
     assert len(want) > 1000 and {tuple(x) for x in neardup.near_pairs(df, "rec_id", "instruction").collect()} == want
 
 
+def test_postings_follow_the_texts():
+    """Where all shingles are heavy, as in large tables, a text is sent once for each shingle of its prefix and not for each two of them."""
+    r = random.Random(17)
+    w = words.words([" ".join(r.choice(VOCAB) for _ in range(r.randint(40, 120))) for _ in range(200)])
+    keep = np.ones(w.n, bool)
+    d, g = neardup._shingles(w, keep)
+    counts = np.zeros(neardup.BUCKETS, np.int64)
+    counts[neardup._bucket(words.mix(g ^ neardup.LARGE))] = 10_000
+    sent, *_ = neardup.keys(w, keep, neardup.coded(counts), neardup.choose(counts), 0.5)
+    prefix = np.bincount(d) - np.ceil(0.5 * np.bincount(d)) + 1
+    assert (np.bincount(sent, minlength=w.n) <= 1.1 * prefix).all() and (np.bincount(sent, minlength=w.n) >= prefix).all()
+
+
+def test_rounds(spark, near_rows, monkeypatch):
+    """Postings of several rounds give the same pairs; rounds are as many as keep each within the bound; no shuffle file stays."""
+    rows = [(i, t) for i, t in near_rows if len(t or "") < 5000][:90]
+    df = spark.createDataFrame(rows, "rec_id bigint, instruction string")
+    size, texts, postings = 600_000, 1000, 50_000
+    n = neardup.needed(size, texts, postings, 10_000)
+    bound = neardup.ROUND * size
+    most = neardup.POSTED + neardup.SIGNED
+    assert n > 2 and 0.98 * postings * most / n <= bound < postings * most / (n - 1)
+    assert neardup.needed(0, 0, 0, 4) == 1 and neardup.needed(size, texts, texts, 10_000) == 1
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in str(disk.getAllFiles().mkString(" ")).split() if "/shuffle_" in x}
+    before = files()
+    monkeypatch.setattr(neardup, "rounds", lambda *a: 3)
+    ids, similar = neardup.similar_texts(df, "rec_id", "instruction", least=20, similarity=0.5)
+    for _ in range(100):
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    got = {tuple(x) for x in neardup.near_pairs(df, "rec_id", "instruction").collect()}
+    assert got == brute(rows) and len(got) > 30
+
+
+def test_unlike_sets_of_one_list_are_told_apart():
+    """Sets of 100 to 200 elements with nothing in common but a key: hardly any two pass the signature."""
+    r = np.random.default_rng(4)
+    size = np.sort(r.integers(100, 200, 300))
+    g = r.integers(0, 1 << 63, size.sum()).astype(np.uint64)
+    sign = neardup._signature(np.repeat(np.arange(300), size), g, 300)
+    x = {"key": np.zeros(300, np.int64), "left": size, "text": np.arange(300), "size": size} | {f"s{i}": sign[:, i] for i in range(8)}
+    met = list(neardup._meet(iter([pa.RecordBatch.from_pydict(x)]), 0.5))
+    assert sum(b.num_rows for b in met) < 10
+
+
 def test_coded_counts():
     x = np.array([0, 1, 2, 127, 128, 129, 1000, 10**6, 10**10])
     back = neardup.DECODED[neardup.coded(x)]
